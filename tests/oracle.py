@@ -1,0 +1,37 @@
+"""Compare a Spark result with the SQL that DuckDB runs over the same files."""
+
+import math
+from pathlib import Path
+
+import duckdb
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for file in Path(sf_dir).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return con
+
+
+def plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else value
+    return value
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    picked = [tuple(plain(row[i]) for i in order) for row in rows]
+    return [columns[i] for i in order], sorted(picked, key=repr)
+
+
+def compare(df, con, sql):
+    """Row count when equal, otherwise an AssertionError."""
+    result = con.execute(sql)
+    expected = rows_of([d[0] for d in result.description], result.fetchall())
+    actual = rows_of(df.columns, [tuple(row) for row in df.collect()])
+    assert actual[0] == expected[0], (actual[0], expected[0])
+    assert len(actual[1]) == len(expected[1]), (len(actual[1]), len(expected[1]))
+    for mine, theirs in zip(actual[1], expected[1]):
+        assert mine == theirs, (mine, theirs)
+    return len(actual[1])

@@ -39,7 +39,7 @@ from martkit.operators.mart import (
 )
 from martkit.operators.quality import duplicate_keys, key_counts, unknown_scales
 from martkit.operators.rollup import sales_daily, sales_hourly
-from martkit.operators.versioned import COMMIT, VersionedTable, live_rows, newest_first
+from martkit.operators.versioned import COMMIT, VersionedTable, live_rows
 from martkit.schemas import MART, MART_PARTITIONS
 from martkit.session import require_utc, scratch_path
 from martkit.sinks.catalog import (
@@ -49,10 +49,10 @@ from martkit.sinks.catalog import (
     register_partitions,
     registered_partitions,
 )
-from martkit.sinks.zones import land_raw, write_mart_days
+from martkit.sinks.zones import land_rates, land_raw, write_mart_days
 from martkit.sources.pages import bad_pages, fetch_pages, page_frame, parse_pages
 from martkit.sources.rates import rates_from_documents
-from martkit.sources.zones import read_mart, read_raw_day
+from martkit.sources.zones import read_mart, read_rates, read_raw_day
 
 
 # Instants of the vt_ queries.
@@ -132,7 +132,9 @@ def rates_map_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rates_land_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, through the rates zone."""
-    return rates(spark, sf_dir)
+    root = scratch_path(spark, "currency_rates")
+    land_rates(rates_map_explode(spark, sf_dir), root)
+    return read_rates(spark, root)
 
 
 # -- mart --------------------------------------------------------------------
@@ -185,7 +187,7 @@ def mart_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6"""
-    return partitions_of(_stored_mart(spark, sf_dir)[1], MART_PARTITIONS)
+    return partitions_of(mart(spark, sf_dir), MART_PARTITIONS)
 
 
 def partition_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +256,7 @@ def scale_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- versioned table ---------------------------------------------------------
 
-ORDER = newest_first([COMMIT, "ts", "event_id"])
+ORDER = (COMMIT, "ts", "event_id")
 
 
 def _versions(log: DataFrame) -> DataFrame:

@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 from martkit.functions.times import local_time
 from martkit.operators.versioned import COMMIT, DELETED
 from martkit.schemas import RAW_SALES
-from martkit.session import configure, scratch_path
-from martkit.sinks.zones import land_rates
+from martkit.session import configure, materialize
 from martkit.sources.rates import rates_from_documents
-from martkit.sources.zones import read_rates
 
 # A day left without rates, so that its sales find no match.
 RATELESS_DAY = "2024-01-07"
@@ -84,10 +82,8 @@ def rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snapshots, landed in a rates zone and read back."""
-    root = scratch_path(spark, "currency_rates")
-    land_rates(rates_from_documents(rate_documents(spark, sf_dir)), root)
-    return read_rates(spark, root)
+    """The snapshots as a table, stored so that the sales days are found once."""
+    return materialize(rates_from_documents(rate_documents(spark, sf_dir)), "rates")
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -44,7 +45,7 @@ class NoSuchTable(ValueError):
     """There is no committed table at the path."""
 
 
-def newest_first(columns: list[str]) -> list[Column]:
+def newest_first(columns: Iterable[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in columns]
 
 
@@ -58,9 +59,9 @@ def latest_versions(log: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return ranked.where(F.col(RANK) == 1).drop(RANK)
 
 
-def live_rows(log: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
-    """Latest version of each key, without the keys whose latest is a tombstone."""
-    latest = latest_versions(log, key, order or newest_first([COMMIT]))
+def live_rows(log: DataFrame, key: str, order: tuple[str, ...] = (COMMIT,)) -> DataFrame:
+    """Version of each key that is greatest by ``order``, unless it is a tombstone."""
+    latest = latest_versions(log, key, newest_first(order))
     return latest.where(~F.coalesce(F.col(DELETED), F.lit(False))).drop(DELETED)
 
 

@@ -1,0 +1,263 @@
+import shutil
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from plans import plan, tree
+from pyspark.sql import functions as F
+
+from martkit.operators.versioned import NoSuchTable, VersionedTable, live_rows
+
+PEOPLE = "uuid string, name string, age bigint, ts string"
+WIDER = f"{PEOPLE}, add string"
+
+C1, C2, C3, C4, C5 = (
+    "20240618112155544",
+    "20240618112300299",
+    "20240618113730201",
+    "20240618114348496",
+    "20240618115000000",
+)
+
+ALICE, BOB = ("A", "Alice", 34, "2024-01-01"), ("B", "Bob", 45, "2024-01-02")
+CATHY, DAVID = ("C", "Cathy", 29, "2024-01-03"), ("D", "David", 42, "2024-01-04")
+OLDER = ("A", "Alice", 35, "2024-01-01")
+
+
+def create(spark, root, rows=(ALICE, BOB, CATHY), commit=C1):
+    batch = spark.createDataFrame(list(rows), PEOPLE)
+    return VersionedTable.create(batch, str(root), "uuid", "ts", "ts", commit)
+
+
+def fill(spark, root, upto):
+    """The sample timeline up to a commit."""
+    people = create(spark, root)
+    update = spark.createDataFrame([DAVID, OLDER], PEOPLE)
+    evolved = spark.createDataFrame([(*OLDER, "hoge")], WIDER)
+    steps = [
+        (C2, people.upsert, update),
+        (C3, people.upsert, update),
+        (C4, people.upsert, evolved),
+        (C5, people.delete, evolved),
+    ]
+    for commit, write, batch in steps:
+        if commit <= upto:
+            write(batch, commit)
+    return people
+
+
+@pytest.fixture(scope="module")
+def people(spark, tmp_path_factory):
+    return fill(spark, tmp_path_factory.mktemp("people"), C5)
+
+
+def short(df):
+    """Key, age, commit, and the late column where there is one."""
+    late = "add" in df.columns
+    rows = [(r.uuid, r.age, r._commit_time, *([r.add] if late else [])) for r in df.collect()]
+    return sorted(rows)
+
+
+META = ["_commit_time", "_record_key", "_partition_path"]
+
+
+def test_v1_v2_snapshot_after_update(spark, tmp_path):
+    snapshot = fill(spark, tmp_path, C2).snapshot()
+    assert snapshot.columns == [*META, "uuid", "name", "age", "ts"]
+    assert short(snapshot) == [("A", 35, C2), ("B", 45, C1), ("C", 29, C1), ("D", 42, C2)]
+
+
+def test_v3_snapshot_after_evolution(spark, tmp_path):
+    snapshot = fill(spark, tmp_path, C4).snapshot()
+    assert snapshot.columns == [*META, "uuid", "name", "age", "add", "ts"]
+    assert short(snapshot) == [
+        ("A", 35, C4, "hoge"),
+        ("B", 45, C1, None),
+        ("C", 29, C1, None),
+        ("D", 42, C3, None),
+    ]
+
+
+def test_v4_v5_snapshot_after_delete(people):
+    assert short(people.snapshot()) == [
+        ("B", 45, C1, None), ("C", 29, C1, None), ("D", 42, C3, None),
+    ]
+
+
+def test_v6_incremental(people):
+    second = people.incremental("20240618112300298", C2)
+    assert short(second) == [("A", 35, C2, None), ("D", 42, C2, None)]
+    first = people.incremental("20240618112155543", C1)
+    assert short(first) == [("A", 34, C1, None), ("B", 45, C1, None), ("C", 29, C1, None)]
+    # begin is exclusive
+    assert short(people.incremental(C1, C2)) == short(second)
+    assert short(people.incremental(C2, C2)) == []
+    # the key whose latest change up to the end is its delete is gone
+    assert short(people.incremental(C3)) == []
+
+
+def test_v6_opens_only_the_commits_in_between(people):
+    files = people.incremental(C1, C3).inputFiles()
+    assert files and all(C2 in file or C3 in file for file in files)
+
+
+def test_v7_v9_as_of(people):
+    first = people.as_of(C1)
+    assert "add" not in first.columns
+    assert short(first) == [("A", 34, C1), ("B", 45, C1), ("C", 29, C1)]
+    between = people.as_of("20240618114348498")
+    assert short(between) == [
+        ("A", 35, C4, "hoge"), ("B", 45, C1, None), ("C", 29, C1, None), ("D", 42, C3, None),
+    ]
+    with pytest.raises(NoSuchTable):
+        people.as_of("20240101000000000")
+
+
+def test_v8_metadata_columns(people):
+    row = people.as_of(C1).where("uuid = 'B'").first()
+    assert (row._commit_time, row._record_key, row._partition_path) == (C1, "B", "2024-01-02")
+
+
+def test_opening_an_existing_table(spark, people):
+    again = VersionedTable(spark, people.root)
+    assert (again.key, again.partition, again.precombine) == ("uuid", "ts", "ts")
+    assert short(again.snapshot()) == short(people.snapshot())
+    with pytest.raises(NoSuchTable):
+        VersionedTable(spark, people.root + "-not")
+
+
+def test_precombine_decides_inside_a_batch(spark, tmp_path):
+    rows = [("K", "old", 1, "2024-01-05"), ("K", "new", 2, "2024-01-06"), ("K", "none", 3, None)]
+    table = create(spark, tmp_path, rows)
+    assert [row.name for row in table.snapshot().collect()] == ["new"]
+
+
+def test_later_commit_wins_and_a_key_can_move(spark, tmp_path):
+    table = create(spark, tmp_path)
+    table.upsert(spark.createDataFrame([("A", "Alice", 36, "2023-12-31")], PEOPLE), C2)
+    rows = table.snapshot().where("uuid = 'A'").collect()
+    assert [(row.age, row._partition_path) for row in rows] == [(36, "2023-12-31")]
+
+
+def test_deleted_key_can_come_back(spark, tmp_path):
+    table = create(spark, tmp_path)
+    table.delete(spark.createDataFrame([("A",), ("Z",)], "uuid string"), C2)
+    table.upsert(spark.createDataFrame([OLDER], PEOPLE), C3)
+    assert short(table.snapshot())[0] == ("A", 35, C3)
+    assert [key for key, *_ in short(table.as_of(C2))] == ["B", "C"]
+
+
+def test_create_replaces_the_table(spark, tmp_path):
+    fill(spark, tmp_path, C4)
+    table = create(spark, tmp_path, [DAVID], C1)
+    assert short(table.snapshot()) == [("D", 42, C1)]
+    assert [commit.commit_time for commit in table.commits()] == [C1]
+
+
+def test_commits_must_move_forward(spark, tmp_path):
+    table = create(spark, tmp_path, commit=C2)
+    batch = spark.createDataFrame([DAVID], PEOPLE)
+    for instant in (C1, C2):
+        with pytest.raises(ValueError, match="not after"):
+            table.upsert(batch, instant)
+    with pytest.raises(ValueError, match="17 digits"):
+        table.upsert(batch, "2024-06-18")
+
+
+def test_changed_column_type_is_refused(spark, tmp_path):
+    table = create(spark, tmp_path)
+    with pytest.raises(ValueError, match="age is bigint, not string"):
+        table.upsert(spark.createDataFrame([("A", "x")], "uuid string, age string"), C2)
+
+
+def test_half_written_commit_is_invisible(spark, tmp_path):
+    table = create(spark, tmp_path)
+    log = tmp_path / "log"
+    shutil.copytree(log / f"_commit_time={C1}", log / f"_commit_time={C2}")
+    assert short(table.snapshot()) == [("A", 34, C1), ("B", 45, C1), ("C", 29, C1)]
+    # the retry at the same instant replaces the leftovers
+    table.upsert(spark.createDataFrame([DAVID], PEOPLE), C2)
+    assert short(table.snapshot()) == [("A", 34, C1), ("B", 45, C1), ("C", 29, C1), ("D", 42, C2)]
+
+
+def test_compaction_changes_no_read(spark, tmp_path):
+    table = fill(spark, tmp_path, C3)
+    assert table.compact() == C3
+    evolved = spark.createDataFrame([(*OLDER, "hoge")], WIDER)
+    table.upsert(evolved, C4)
+    table.delete(evolved, C5)
+    plain = fill(spark, tmp_path / "plain", C5)
+    for instant in (C1, C2, C3, C4, C5):
+        assert short(table.as_of(instant)) == short(plain.as_of(instant))
+        assert table.as_of(instant).columns == plain.as_of(instant).columns
+    assert short(table.incremental(C1, C4)) == short(plain.incremental(C1, C4))
+    opened = table.snapshot().inputFiles()
+    assert not any(C1 in file or C2 in file for file in opened)
+    table.compact()
+    assert short(table.snapshot()) == short(plain.snapshot())
+
+
+batches = st.lists(
+    st.tuples(
+        st.sampled_from(["upsert", "delete"]),
+        st.lists(st.tuples(st.integers(0, 5), st.integers(0, 9)), min_size=1, max_size=6),
+    ),
+    min_size=1,
+    max_size=3,
+)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches)
+def test_any_history_equals_a_dictionary(spark, tmp_path_factory, history):
+    root = str(tmp_path_factory.mktemp("history"))
+    schema = "k int, p int"
+    table = VersionedTable.create(spark.createDataFrame([(0, 0)], schema), root, "k", "p", "p", C1)
+    state, states = {0: 0}, [{0: 0}]
+    instants = [C1]
+    for i, (operation, rows) in enumerate(history):
+        instants.append(str(int(C1) + i + 1))
+        frame = spark.createDataFrame(rows, schema)
+        if operation == "upsert":
+            table.upsert(frame, instants[-1])
+            state = {**state, **{k: max(p for q, p in rows if q == k) for k, _ in rows}}
+        else:
+            table.delete(frame, instants[-1])
+            state = {k: p for k, p in state.items() if k not in {q for q, _ in rows}}
+        states.append(state)
+    for instant, want in zip(instants, states):
+        assert {row.k: row.p for row in table.as_of(instant).collect()} == want
+    assert {row.k: row.p for row in table.snapshot().collect()} == states[-1]
+    changed = table.incremental("0" * 17, instants[-1])
+    assert {row.k: row.p for row in changed.collect()} == states[-1]
+
+
+def test_w2_one_version_per_key_leaves_a_map_task(people):
+    text = tree(people.snapshot())
+    before = text[text.index("Exchange hashpartitioning(uuid") :]
+    assert "WindowGroupLimit" in before and text.count("Exchange") == 1
+
+
+def test_key_filter_reaches_the_scan(people):
+    assert "EqualTo(uuid,B)" in plan(people.snapshot().where("uuid = 'B'"))
+    assert "EqualTo(name,Bob)" not in plan(people.snapshot().where("name = 'Bob'"))
+
+
+def test_live_rows_of_any_log(spark):
+    log = spark.createDataFrame(
+        [(1, "a", 1, False), (1, "b", 2, True), (2, "c", 1, False), (2, "d", 3, False), (3, "e", 5, None)],
+        "k int, v string, at int, _deleted boolean",
+    )
+    rows = live_rows(log, "k", ("at",)).select("k", "v").collect()
+    assert sorted(map(tuple, rows)) == [(2, "d"), (3, "e")]
+
+
+def test_hot_key_with_many_versions(spark):
+    log = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("at"),
+        F.lit(False).alias("_deleted"),
+    )
+    rows = live_rows(log, "k", ("at",))
+    assert rows.where("k = 1").first()["at"] == 19998
+    assert rows.count() == 20_000 - 6667

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.catalogue.views import (
-    PAGE_SIZE,
     changes,
     geo_client,
     naive,
@@ -55,6 +54,9 @@ from martkit.sources.rates import rates_from_documents
 from martkit.sources.zones import read_mart, read_rates, read_raw_day
 
 
+# Most sales in one envelope of json_pages_explode.
+CHUNK = 100_000
+
 # Instants of the vt_ queries.
 AS_OF = "20240115"
 BEGIN, END = "20240110", "20240120"
@@ -65,8 +67,9 @@ BEGIN, END = "20240110", "20240120"
 
 def page_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page number, with the sales it will bring."""
-    sold = sales(spark, sf_dir).groupBy("page").agg(F.count(F.lit(1)).alias("sales_rows"))
-    last = sold.agg(F.max("page")).first()[0]
+    pages = sales(spark, sf_dir).select("page")
+    last = pages.agg(F.max("page")).first()[0]
+    sold = pages.groupBy("page").agg(F.count(F.lit(1)).alias("sales_rows"))
     return page_frame(spark, last).join(sold, "page", "left")
 
 
@@ -79,10 +82,10 @@ def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_pages_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales packed into page envelopes and unpacked again.
 
-    A chunk of consecutive rows bounds every envelope, whatever the page sizes.
+    Chunks of consecutive rows bound every envelope, even if one page had all rows.
     """
     record = F.struct("store_id", "purchase_id", "scale", "store_name", "time", "sales")
-    chunk = F.expr(f"monotonically_increasing_id() div {PAGE_SIZE}")
+    chunk = F.expr(f"monotonically_increasing_id() div {CHUNK}")
     packed = (
         sales(spark, sf_dir)
         .select("page", record.alias("record"), chunk.alias("chunk"))

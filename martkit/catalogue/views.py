@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.functions.times import local_time
+from martkit.functions.times import local_day
 from martkit.operators.versioned import COMMIT, DELETED
 from martkit.schemas import RAW_SALES
 from martkit.session import configure, materialize
@@ -56,7 +56,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "store_name": F.concat(F.lit("Store "), F.char(store + 65)),
         "time": time,
         "sales": F.col("value"),
-        "retrieval_date": F.date_format(local_time(time), "yyyy-MM-dd"),
+        "retrieval_date": local_day(time),
     }
     events = table(spark, sf_dir, "events")
     return events.select(
@@ -66,8 +66,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rate snapshot per sales day, taken the day after at 01:00 local time."""
-    days = sales(spark, sf_dir).select("retrieval_date").distinct()
-    day = F.col("retrieval_date").cast("date")
+    day = local_day(F.col("ts").cast("timestamp")).alias("day")
+    days = table(spark, sf_dir, "events").select(day).distinct()
+    day = F.col("day")
     rates = F.to_json(
         F.struct(
             (F.unix_timestamp(day.cast("timestamp")) + 16 * 3600).alias("timestamp"),
@@ -78,7 +79,7 @@ def rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("rates"),
         )
     )
-    return days.where(F.col("retrieval_date") != RATELESS_DAY).select(rates.alias("value"))
+    return days.where(day != F.lit(RATELESS_DAY).cast("date")).select(rates.alias("value"))
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:

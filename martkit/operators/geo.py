@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -26,12 +25,10 @@ from martkit.operators.joins import (
 )
 from martkit.schemas import GEO_RESPONSE
 from martkit.session import materialize
+from martkit.sources.batches import frames
 
 BOX = ("south", "north", "west", "east")
 
-# Answers held by one Arrow batch on its way back to the JVM.
-ANSWERS_PER_BATCH = 256
-
 CORRUPT = "_corrupt_record"
 CANDIDATES = "__places"
 
@@ -63,16 +60,8 @@ def enrich_points(
     def ask(batches):
         client = connect()
         for batch in batches:
-            for first in range(0, len(batch), ANSWERS_PER_BATCH):
-                points = batch[column].iloc[first : first + ANSWERS_PER_BATCH]
-                answers = [client(point) for point in points]
-                yield pd.DataFrame(
-                    {
-                        column: points.to_numpy(),
-                        "status": [status for status, _ in answers],
-                        "body": [body for _, body in answers],
-                    }
-                )
+            answers = ((point, *client(point)) for point in batch[column])
+            yield from frames(answers, [column, "status", "body"])
 
     schema = StructType(
         [

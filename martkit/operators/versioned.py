@@ -39,6 +39,7 @@ TIMELINE = StructType(
 
 # Milliseconds: yyyyMMddHHmmssSSS.
 INSTANT = re.compile(r"\d{17}")
+LAST = "9" * 17
 
 
 class NoSuchTable(ValueError):
@@ -104,7 +105,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        first = self._last_line(None)
+        first = self._history(LAST)[0]
         self.key, self.partition, self.precombine = first.key, first.partition, first.precombine
 
     # -- writes ----------------------------------------------------------
@@ -148,8 +149,10 @@ class VersionedTable:
         Reads then cost the size of the table and the commits since, not of the
         whole history. No commit goes away: every earlier instant stays readable.
         """
-        last = self._last_line(None)
-        rows = self.as_of(last.commit_time).drop(RECORD_KEY, PARTITION_PATH)
+        last, commits = self._history(LAST)
+        if Commit(last.commit_time, "compact") in commits:
+            return last.commit_time
+        rows = self.snapshot().drop(RECORD_KEY, PARTITION_PATH)
         path = f"{self.root}/state/_state_time={last.commit_time}"
         rows.write.mode("overwrite").parquet(path)
         self._append_line(last.commit_time, "compact", last.columns)
@@ -159,13 +162,13 @@ class VersionedTable:
 
     def snapshot(self) -> DataFrame:
         """Current rows, in the latest schema."""
-        return self.as_of(self._last_line(None).commit_time)
+        return self.as_of(LAST)
 
     def as_of(self, instant: str) -> DataFrame:
         """Rows as they were at ``instant`` (inclusive), in the schema of then."""
         _check_instant(instant)
-        schema = self._last_line(instant).columns
-        commits = self.commits(end=instant)
+        last, commits = self._history(instant)
+        schema = last.columns
         states = [c.commit_time for c in commits if c.operation == "compact"]
         start = max(states, default=None)
         rows = self._read_log(schema, commits, after=start)
@@ -183,34 +186,33 @@ class VersionedTable:
         version of a key is in there exactly when any version is.
         """
         _check_instant(begin)
-        last = self._last_line(None)
-        end = end or last.commit_time
-        _check_instant(end)
-        rows = self._read_log(last.columns, self.commits(begin, end))
+        _check_instant(end or LAST)
+        last, commits = self._history(LAST)
+        between = [c for c in commits if begin < c.commit_time <= (end or LAST)]
+        rows = self._read_log(last.columns, between)
         return self._described(live_rows(rows, self.key), last.columns)
 
-    def commits(self, begin: str | None = None, end: str | None = None) -> list[Commit]:
-        """The timeline after ``begin`` up to ``end``, oldest first."""
-        lines = self._timeline(end)
-        if begin is not None:
-            lines = lines.where(F.col("commit_time") > begin)
-        found = lines.select("commit_time", "operation").collect()
-        return sorted((Commit(*line) for line in found), key=lambda c: c.commit_time)
+    def commits(self) -> list[Commit]:
+        """The timeline, oldest first."""
+        return self._history(LAST)[1]
 
     # -- helpers ---------------------------------------------------------
 
-    def _timeline(self, end: str | None) -> DataFrame:
+    def _history(self, end: str) -> tuple[_Line, list[Commit]]:
+        """The last timeline line up to ``end``, and all commits up to there."""
         try:
             lines = self.spark.read.schema(TIMELINE).json(f"{self.root}/timeline")
         except AnalysisException as missing:
             raise NoSuchTable(self.root) from missing
-        return lines if end is None else lines.where(F.col("commit_time") <= end)
-
-    def _last_line(self, end: str | None) -> _Line:
-        line = self._timeline(end).orderBy(F.col("commit_time").desc()).first()
-        if line is None:
-            raise NoSuchTable(self.root if end is None else f"{self.root} has no commit by {end}")
-        return _Line(**line.asDict())
+        found = lines.where(F.col("commit_time") <= end).agg(
+            F.max(F.struct(*TIMELINE.names)).alias("last"),
+            F.collect_list(F.struct("commit_time", "operation")).alias("commits"),
+        )
+        row = found.first()
+        if row["last"] is None:
+            raise NoSuchTable(f"{self.root} has no commit by {end}")
+        commits = sorted((Commit(*c) for c in row["commits"]), key=lambda c: c.commit_time)
+        return _Line(**row["last"].asDict()), commits
 
     def _append_line(self, commit_time: str, operation: str, schema: StructType) -> None:
         line = (commit_time, operation, schema.json(), self.key, self.partition, self.precombine)
@@ -219,7 +221,7 @@ class VersionedTable:
 
     def _next(self, commit_time: str) -> _Line:
         _check_instant(commit_time)
-        last = self._last_line(None)
+        last = self._history(LAST)[0]
         if commit_time <= last.commit_time:
             raise ValueError(f"commit {commit_time} is not after {last.commit_time}")
         return last

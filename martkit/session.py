@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # a map task that is run again after a loss and gives other output makes its
+    # readers start again too, rather than mix the two
+    "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
+    "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
 }
 
 # Settings that only speed or layout depend on, plus the identifier quoting

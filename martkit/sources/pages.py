@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martkit.functions.times import HourWindow
 from martkit.schemas import ENVELOPE, FETCHED
+from martkit.sources.batches import frames
 
 # ``Connect`` runs once per task with the secret and gives a client that turns
 # a page number into the page body; a connection is thus shared by a task.
@@ -20,9 +20,6 @@ Connect = Callable[[object], Client]
 
 CORRUPT = "_corrupt_record"
 
-# Bodies held by one Arrow batch on its way back to the JVM.
-BODIES_PER_BATCH = 16
-
 
 def page_count(client: Client) -> int:
     """Number of pages, as the first page states it."""
@@ -58,27 +55,34 @@ def fetch_pages(
     def fetch(batches):
         client = connect(shared.value)
         for batch in batches:
-            for first in range(0, len(batch), BODIES_PER_BATCH):
-                page = batch["page"].iloc[first : first + BODIES_PER_BATCH]
-                bodies = [body(client, int(number)) for number in page]
-                yield pd.DataFrame({"page": page.to_numpy(), "sales_data": bodies})
+            fetched = ((page, body(client, page)) for page in batch["page"].tolist())
+            yield from frames(fetched, FETCHED.names)
 
     return pages.select("page").mapInPandas(fetch, FETCHED)
 
 
 def parse_pages(fetched: DataFrame) -> DataFrame:
-    """One row per sale; a damaged or empty page gives no row."""
+    """One row per sale; a damaged or empty page gives no row.
+
+    From a plain explode Spark infers a filter on the array, and evaluates the
+    JSON parser once more for it. The outer form, with the pages that gave
+    nothing taken out afterwards, parses every body once.
+    """
     envelopes = fetched.select("page", F.from_json("sales_data", ENVELOPE).alias("sales_data"))
-    sales = envelopes.select("page", F.explode("sales_data.data").alias("data"))
-    return sales.select("page", "data.*")
+    sales = envelopes.select("page", F.posexplode_outer("sales_data.data").alias("at", "data"))
+    return sales.where(F.col("at").isNotNull()).select("page", "data.*")
 
 
 def bad_pages(fetched: DataFrame) -> DataFrame:
-    """Pages that gave no sale, or a sale with a damaged field, and why."""
+    """Pages that gave no sale, or a sale with a damaged field, and why.
+
+    The reason passes through a one-element explode: a filter on a plain column
+    would be moved below the parser, with a copy of it for every mention.
+    """
     schema = StructType([*ENVELOPE.fields, StructField(CORRUPT, StringType())])
     parsed = F.from_json("sales_data", schema, {"columnNameOfCorruptRecord": CORRUPT})
     reasons = fetched.select("page", "sales_data", parsed.alias("envelope")).select(
-        "page", _reason().alias("reason")
+        "page", F.explode(F.array(_reason())).alias("reason")
     )
     return reasons.where(F.col("reason").isNotNull())
 

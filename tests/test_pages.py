@@ -91,6 +91,16 @@ def test_t16_one_fetch_per_page(spark):
     fetched = parse_pages(fetch_pages(page_frame(spark, 10), connect))
     assert tree(fetched).count("MapInPandas") == 1
     assert "BatchEvalPython" not in tree(fetched)
+    # nor is a body parsed twice; the parser reads the records only
+    assert tree(fetched).count("from_json") == 1
+    assert "total_pages" not in tree(fetched)
+    report = bad_pages(fetch_pages(page_frame(spark, 10), connect))
+    assert tree(report).count("from_json") == 1
+
+
+def test_null_record_is_kept(spark):
+    fetched = spark.createDataFrame([(1, '{"data":[null,{"store_id":1}]}')], "page long, sales_data string")
+    assert [row.store_id for row in parse_pages(fetched).collect()] == [None, 1]
 
 
 def test_t1_stamp_and_path_follow_the_window(spark, tmp_path):

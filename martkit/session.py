@@ -29,13 +29,30 @@ BUILD_CONF = {
 }
 
 
+# Shuffle partitions: no fewer than Spark's default, no more than the driver's
+# bookkeeping bears; adaptive execution merges those that turn out small.
+PARTITION_BYTES = 256 << 20
+PARTITIONS = (200, 100_000)
+
+
+def sizing(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a job whose widest shuffle moves about ``shuffle_bytes``."""
+    low, high = PARTITIONS
+    wanted = -(-shuffle_bytes // PARTITION_BYTES)
+    return {"spark.sql.shuffle.partitions": str(min(max(wanted, low), high))}
+
+
 def build_session(
-    app: str = "martkit", master: str | None = None, conf: dict[str, str] | None = None
+    app: str = "martkit",
+    master: str | None = None,
+    conf: dict[str, str] | None = None,
+    shuffle_bytes: int | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**BUILD_CONF, **RUNTIME_CONF, **(conf or {})}.items():
+    sized = sizing(shuffle_bytes) if shuffle_bytes is not None else {}
+    for key, value in {**BUILD_CONF, **RUNTIME_CONF, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

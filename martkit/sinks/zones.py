@@ -38,13 +38,19 @@ def land_rates(rates: DataFrame, root: str) -> None:
     )
 
 
-def write_mart(mart: DataFrame, root: str, day: str, allow_empty: bool = False) -> str:
+def write_mart(
+    mart: DataFrame,
+    root: str,
+    day: str,
+    allow_empty: bool = False,
+    sort_by_time: bool = False,
+) -> str:
     """Replace the mart of one day, partitioned by store.
 
     Stores that the new rows lack disappear. The date is kept in the path only.
-    The rebalance hint brings a store's rows together but splits a store that
-    is larger than the advisory size over several tasks; rows are sorted by
-    time inside a file so that readers can skip row groups by time.
+    The rebalance hint brings a store's rows together, so that a store gets few
+    files, but splits one larger than the advisory size over several tasks.
+    ``sort_by_time`` sorts the rows of a file, for readers that filter by time.
     """
     other_day = ~F.col("retrieval_date").eqNullSafe(F.lit(day))
     if not mart.where(other_day).isEmpty():
@@ -52,7 +58,8 @@ def write_mart(mart: DataFrame, root: str, day: str, allow_empty: bool = False)
     if not allow_empty and mart.isEmpty():
         raise EmptyOverwrite(f"no mart rows for {day}; the stored ones are kept")
     path = f"{root}/retrieval_date={day}"
-    _partitioned(mart.drop("retrieval_date"), ["store_id"]).mode("overwrite").parquet(path)
+    writer = _partitioned(mart.drop("retrieval_date"), ["store_id"], sort_by_time)
+    writer.mode("overwrite").parquet(path)
     return path
 
 
@@ -66,6 +73,8 @@ def write_mart_days(mart: DataFrame, root: str) -> None:
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
-def _partitioned(rows: DataFrame, keys: list[str]):
-    placed = rows.hint("rebalance", *keys).sortWithinPartitions(*keys, "time")
+def _partitioned(rows: DataFrame, keys: list[str], sort_by_time: bool = False):
+    placed = rows.hint("rebalance", *keys)
+    if sort_by_time:
+        placed = placed.sortWithinPartitions(*keys, "time")
     return placed.write.option("compression", "snappy").partitionBy(*keys)

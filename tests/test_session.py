@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martkit.functions.times import local_hour
-from martkit.session import materialize, require_utc, scratch_path, shared_dir
+from martkit.session import materialize, require_utc, scratch_path, shared_dir, sizing
 
 
 def test_shared_dir_is_the_configured_one(spark):
@@ -26,3 +26,8 @@ def test_t2_zone_must_be_utc(spark, set_conf):
     set_conf(spark__sql__session__timeZone="Asia/Tokyo")
     with pytest.raises(ValueError, match="UTC"):
         require_utc(spark)
+
+
+def test_sizing_is_bounded():
+    counts = [int(sizing(size)["spark.sql.shuffle.partitions"]) for size in (0, 1 << 40, 1 << 50)]
+    assert counts == [200, 4096, 100_000]

@@ -98,10 +98,10 @@ def test_hot_store_is_split_over_files(spark, tmp_path, set_conf):
     assert read_mart(spark, str(tmp_path), DAY).count() == 200_010
 
 
-def test_rows_are_sorted_by_time(spark, tmp_path):
+def test_rows_can_be_sorted_by_time(spark, tmp_path):
     rows = mart_rows(spark, ["1"], n=100).withColumn(
         "time", F.timestamp_seconds(F.col("purchase_id").cast("int") * 7919 % 100)
     )
-    write_mart(rows, str(tmp_path), DAY)
+    write_mart(rows, str(tmp_path), DAY, sort_by_time=True)
     times = [row.time for row in read_mart(spark, str(tmp_path)).collect()]
     assert times == sorted(times)

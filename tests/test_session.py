@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +16,42 @@ def test_shared_dir_is_the_configured_one(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+UNSET = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from martkit.session import build_session, materialize, scratch_path, shared_dir
+spark = build_session("unset", "local[1]", {"spark.ui.enabled": "false"})
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert shared_dir(spark) == shared_dir(spark)
+assert scratch_path(spark, "x").startswith(shared_dir(spark))
+assert materialize(spark.range(3), "x").count() == 3
+"""
+
+
+def test_local_session_without_a_shared_dir(tmp_path):
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = {**os.environ, "SPARK_CONF_DIR": str(tmp_path)}
+    command = [sys.executable, "-c", UNSET, root]
+    done = subprocess.run(command, env=environment, cwd=tmp_path, timeout=120, capture_output=True)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
+class Cluster:
+    """A session on a cluster that names no shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+    class sparkContext:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_cluster_must_name_a_shared_dir():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster)
+
+
 def test_materialize_cuts_the_lineage(spark):
     df = spark.range(10).withColumn("v", F.col("id") * 2)
     stored = materialize(df, "numbers")

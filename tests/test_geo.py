@@ -175,3 +175,12 @@ def test_points_pass_without_a_shuffle(spark):
     assert text.count("Exchange hashpartitioning(cell") == text.count("Exchange hashpartitioning")
     shuffled = tree(locate(points, places, "id", ["id"], **SMALL))
     assert "NestedLoop" not in shuffled and "Cartesian" not in shuffled
+
+
+def test_all_levels_share_one_broadcast(spark):
+    boxes, points = scatter(7)
+    frame = spark.createDataFrame(points, "p int, lat double, lon double")
+    located = locate(frame, spark.createDataFrame(boxes, BOXES), "id", ["id"])
+    located.collect()
+    ran = tree(located).split("== Initial Plan ==")[0]
+    assert ran.count("BroadcastHashJoin") - ran.count("ReusedExchange") == 1

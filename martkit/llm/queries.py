@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from martkit.llm.chat import chat_digests, format_conversations
 from martkit.llm.common import table
+from martkit.llm.fingerprints import edited_fingerprints
 from martkit.llm.mixing import mix_sources
 from martkit.llm.packing import pack_documents
+from martkit.llm.pii import detect_pii
 from martkit.llm.sharding import shard_rows
 
 
@@ -42,6 +44,14 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_conversations(rows.union(extra[0]).union(extra[1])))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_pii(table(spark, sf_dir, "documents"))
+
+
 def op10_shard_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_rows(table(spark, sf_dir, "documents"), shards=8)
     return placed.select(
@@ -59,5 +69,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
+    "op7_simhash": op7_simhash,
+    "op9_pii": op9_pii,
     "op10_shard_feistel": op10_shard_feistel,
 }

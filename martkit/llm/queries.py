@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martkit.llm.chat import chat_digests, format_conversations
 from martkit.llm.common import table
 from martkit.llm.fingerprints import edited_fingerprints
+from martkit.llm.jaccard import jaccard_components
 from martkit.llm.language import fit_languages, held_out, identify
 from martkit.llm.mixing import mix_sources
 from martkit.llm.packing import pack_documents
@@ -45,6 +46,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_conversations(rows.union(extra[0]).union(extra[1])))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), percent=85, width=4)
+
+
 def op6_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, fit_languages(docs))
@@ -78,6 +83,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_language_centroids": op6_language_centroids,
     "op7_simhash": op7_simhash,
     "op9_pii": op9_pii,

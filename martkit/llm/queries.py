@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martkit.llm.chat import chat_digests, format_conversations
 from martkit.llm.common import table
+from martkit.llm.embeddings import link_embeddings
 from martkit.llm.fingerprints import edited_fingerprints
 from martkit.llm.jaccard import jaccard_components
 from martkit.llm.language import fit_languages, held_out, identify
@@ -62,6 +63,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_embeddings(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_pii(table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_language_centroids": op6_language_centroids,
     "op7_simhash": op7_simhash,
+    "op8_embedding_itq": op8_embedding_itq,
     "op9_pii": op9_pii,
     "op10_shard_feistel": op10_shard_feistel,
 }

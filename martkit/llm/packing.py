@@ -14,6 +14,7 @@ are packed each on its own. An empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,43 +31,97 @@ CAPACITY = 2048
 END_ID = 0
 # Spread of the pieces of one length over tasks, for lengths that many share.
 SPREAD = 1024
-# Words whose ids a worker remembers.
-REMEMBERED = 400_000
+# Words, and parts of words, whose ids a worker remembers: twice as many at most.
+REMEMBERED = 300_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # Characters that Python splits at but that are no white space to the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
+# Words that the tokenizer cuts into runs of letters, single digits and runs of other
+# signs: lower case and composed forms of these characters are what Python makes of them.
+SIMPLE = re.compile(r"[\x21-\x26\x28-\x7eÀ-ÖØ-öø-ÿ]+")
+PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+SPECIAL = "<|"
+
+
+class Memory:
+    """Two generations of remembered ids; what is asked for again moves to the younger."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """Those of ``wanted`` that are not known; all others are in the younger now."""
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        wanted = wanted - self.young.keys()
+        known = wanted & self.old.keys()
+        self.young.update((w, self.old[w]) for w in known)
+        return wanted - known
+
+
 class WordIds:
-    """Token ids of a text as little-endian unsigned 32-bit numbers.
+    """Token ids of texts as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins what white space parts, so ids are looked up word by
-    word, and only words not seen lately go through the tokenizer.
+    word. A new word is looked up by its parts, and new parts go through the tokenizer
+    together: each of them ends with a token that ends a word, and only there.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, bytes] = {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = bool(suffix) and token.endswith(suffix)
+        self.by_parts = bool(suffix)
+        self.words, self.parts = Memory(), Memory()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        batch = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
 
-    def __call__(self, text: str) -> bytes:
-        if any(c in text for c in SEPARATORS):
-            return self.encode([text])[0]
-        words = text.split()
-        seen = self.seen
-        missing = [w for w in set(words) if w not in seen]
-        if missing:
-            if len(seen) > REMEMBERED:
-                seen.clear()
-                missing = list(set(words))
-            seen.update(zip(missing, self.encode(missing)))
-        return b"".join([seen[w] for w in words])
+    def learn_parts(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 2_000):
+            some = parts[at : at + 2_000]
+            ids = np.frombuffer(self.encode([" ".join(some)])[0], dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                found = [x.tobytes() for x in np.split(ids, cuts[:-1])]
+            else:
+                found = self.encode(some)
+            self.parts.young.update(zip(some, found))
+
+    def learn(self, words: set[str]) -> None:
+        simple, other = {}, []
+        for word in words:
+            if self.by_parts and SIMPLE.fullmatch(word) and SPECIAL not in word:
+                simple[word] = PARTS.findall(word.lower())
+            else:
+                other.append(word)
+        self.learn_parts(sorted(self.parts.missing({p for ps in simple.values() for p in ps})))
+        known = self.parts.young
+        young = self.words.young
+        for word, parts in simple.items():
+            young[word] = b"".join([known[p] for p in parts])
+        young.update(zip(other, self.encode(other)))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Texts should be a batch of bounded size."""
+        odd = [any(c in t for c in SEPARATORS) for t in texts]
+        words = [[] if o else t.split() for t, o in zip(texts, odd)]
+        self.learn(self.words.missing(set().union(*words)))
+        ids = self.words.young
+        return [
+            self.encode([t])[0] if o else b"".join([ids[w] for w in ws])
+            for t, o, ws in zip(texts, odd, words)
+        ]
 
 
 def token_pieces(
@@ -93,8 +148,9 @@ def token_pieces(
         encode = once(f"word-ids {tokenizer}", lambda: WordIds(tokenizer))
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for doc, body in zip(batch.column(0), batch.column(1)):
-                doc, ids = doc.as_py(), encode(body.as_py() or "") + end
+            bodies = encode([body or "" for body in batch.column(1).to_pylist()])
+            for doc, ids in zip(batch.column(0).to_pylist(), bodies):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     row = (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)

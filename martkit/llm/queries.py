@@ -14,6 +14,7 @@ from martkit.llm.language import fit_languages, held_out, identify
 from martkit.llm.mixing import mix_sources
 from martkit.llm.packing import pack_documents
 from martkit.llm.pii import detect_pii
+from martkit.llm.secrets import scan_secrets
 from martkit.llm.sharding import shard_rows
 
 
@@ -28,6 +29,19 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    # what was found is named by its hash, for it may be a secret
+    return found.select(
+        "doc_id",
+        "start",
+        "end",
+        F.sha2(F.col("found").cast("binary"), 256).alias("found_sha256"),
+        "score",
+        "kept",
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -86,6 +100,7 @@ def op10_shard_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_secret_forest": op2_secret_forest,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_chat_format": op4_chat_format,
     "op5_jaccard_join": op5_jaccard_join,

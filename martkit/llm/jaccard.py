@@ -18,7 +18,8 @@ nodes that are connected already may go unlisted. Shingles are 64-bit hashes.
 
 Words are what ASCII white space parts; A-Z are lower-cased. Texts without words, null
 ones too, have an empty set and link with nothing. Rows with equal ids are separate
-documents, null ids stay null, and an empty table gives no rows.
+documents. Null ids stay null, and so does the name of a component without any other.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,6 +100,11 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
+def real_id() -> Column:
+    """Null ids are least among keys, but name no component."""
+    return F.when(F.col("key") != LEAST_ID, F.col("key"))
+
+
 class JaccardJoin:
     """One join: ``docs`` with a key, a tie (hash of the text) and the text."""
 
@@ -112,9 +118,12 @@ class JaccardJoin:
         )
         self.members = self._members()
         self.nodes = self.members.where("n > 0").groupBy("node").agg(
-            F.min(F.struct("key", "tie")).alias("first"), F.first("n").alias("n")
+            F.min(F.struct("key", "tie")).alias("first"),
+            F.min(real_id()).alias("least"),
+            F.first("n").alias("n"),
         )
-        self.nodes = materialize(self.nodes.select("node", "n", "first.*"), "jaccard-nodes")
+        self.nodes = self.nodes.select("node", "n", "least", "first.*")
+        self.nodes = materialize(self.nodes, "jaccard-nodes")
 
     def _members(self) -> DataFrame:
         """(key, tie, node, n) of each document; the list of frequent shingles on the way."""
@@ -452,12 +461,12 @@ def jaccard_components(
     # the least id of each component, by way of the least id of each node
     least = join.nodes.join(named, "node", "left")
     least = least.withColumn("component", F.coalesce("component", "node"))
-    names = least.groupBy("component").agg(F.min("key").alias("least"))
-    lookup = least.join(names, "component").select("node", "least")
+    names = least.groupBy("component").agg(F.min("least").alias("least"))
+    lookup = least.drop("least").join(names, "component").select("node", "least")
     lookup = materialize(lookup, "jaccard-names")
     found = lookup_join(join.members, lookup, ["node"], "left")
-    # null ids are neither least nor named
-    real = F.when(F.col("key") != LEAST_ID, F.col("key"))
     return found.select(
-        real.alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("least", real).alias("component_id")
+        real_id().alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("least", real_id()).alias("component_id"),
     )

@@ -53,7 +53,7 @@ def format_conversations(
         F.struct(
             quoted(turn).alias("turn"),
             F.coalesce(quoted(role), F.lit("")).alias("role"),
-            escape(F.coalesce(quoted(text), F.lit(""))).alias("text"),
+            F.coalesce(quoted(text), F.lit("")).alias("text"),
         ).alias("t"),
     )
     sorted_turns = F.sort_array(F.collect_list("t"))
@@ -69,7 +69,7 @@ def format_conversations(
         )
         return F.array(
             F.struct(head.alias("text"), F.lit(False).alias("loss")),
-            F.struct(t["text"].alias("text"), t["role"].isin(*trained_roles).alias("loss")),
+            F.struct(escape(t["text"]).alias("text"), t["role"].isin(*trained_roles).alias("loss")),
         )
 
     last = F.array(F.struct(F.lit(END).alias("text"), F.lit(False).alias("loss")))

@@ -1,0 +1,80 @@
+import hashlib
+import math
+from collections import Counter
+
+import pytest
+from llm_cases import SCHEMA, awkward, awkward_rows, empty
+from pyspark.sql import functions as F
+
+from martkit.llm.mixing import mix_sources, poisson, source_rates
+
+
+def draws(mean, key, seed=42):
+    """The number of copies by plain inversion."""
+    parts = max(1, math.ceil(mean / 16))
+    total = 0
+    for part in range(1, parts + 1):
+        digest = hashlib.md5(f"{seed}:{key}:{part}".encode()).hexdigest()
+        u = (int(digest[:13], 16) + 0.5) / 2**52
+        k, p = 0, math.exp(-mean / parts)
+        reached = p
+        while reached < u:
+            k += 1
+            p *= mean / parts / k
+            reached += p
+        total += k
+    return total
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.1, 1.0, 5.5, 16.0, 40.0, 700.0])
+def test_poisson_equals_plain_inversion(spark, mean):
+    rows = spark.range(300).select("id", poisson(F.lit(mean), F.col("id").cast("string"), 42).alias("k"))
+    found = {r["id"]: r["k"] for r in rows.collect()}
+    assert found == {i: draws(mean, i) if mean else 0 for i in range(300)}
+
+
+@pytest.mark.parametrize("mean", [0.3, 2.0, 50.0])
+def test_poisson_has_its_mean_and_variance(spark, mean):
+    k = poisson(F.lit(mean), F.col("id").cast("string"), 1)
+    row = spark.range(20_000).select(k.alias("k")).agg(F.avg("k"), F.var_samp("k")).first()
+    assert abs(row[0] - mean) < 5 * math.sqrt(mean / 20_000)
+    assert abs(row[1] / mean - 1) < 0.1
+
+
+def test_sources_reach_their_weights(spark):
+    rows = [(i, "x" * 99, "en", "hot" if i % 3 else f"s{i % 5}", 99) for i in range(6000)]
+    mixed = mix_sources(spark.createDataFrame(rows, SCHEMA), {"hot": 1.0, "s0": 2.0, "s3": 1.0})
+    found = Counter(r["source"] for r in mixed.collect())
+    assert set(found) == {"hot", "s0", "s3"}
+    assert abs(found["hot"] / 1500 - 1) < 0.1
+    assert abs(found["s0"] / 3000 - 1) < 0.1
+
+
+def test_awkward_rows(spark):
+    frame = awkward(spark)
+    rates = {r["source"]: r["rate"] for r in source_rates(frame).collect()}
+    mixed = mix_sources(frame)
+    assert "copy" in mixed.columns and mixed.columns.count("copy") == 1
+    found = mixed.collect()
+    expected = Counter()
+    for doc, text, _, source, _ in awkward_rows():
+        key = doc if doc is not None else hashlib.md5((text or "").encode()).hexdigest()
+        expected[(doc, text)] += draws(rates[source], key)
+    assert Counter((r["doc_id"], r["text"]) for r in found) == +expected
+
+
+def test_order_is_shuffled_and_repeats(spark):
+    rows = [(i, "t", "en", "a", 1) for i in range(2000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    a = [r["shuffle_key"] for r in mix_sources(frame).orderBy("shuffle_key").collect()]
+    b = [r["shuffle_key"] for r in mix_sources(frame.repartition(5)).orderBy("shuffle_key").collect()]
+    assert a == b
+    ids = [r["doc_id"] for r in mix_sources(frame).collect()]
+    assert sum(x < y for x, y in zip(ids, ids[1:])) < 0.7 * len(ids)
+
+
+def test_bad_weights_and_empty_table(spark):
+    with pytest.raises(ValueError):
+        mix_sources(awkward(spark), {"a": -1.0})
+    assert mix_sources(empty(spark)).collect() == []
+    assert mix_sources(awkward(spark), {"none": 1.0}).collect() == []

@@ -1,0 +1,117 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_cases import SCHEMA, awkward, empty
+
+from martkit.llm.packing import WordIds, bin_patterns, fullest, pack_documents
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def plain_ids(texts):
+    from tokenizers import Tokenizer
+
+    batch = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    return [e.ids for e in batch]
+
+
+def test_word_ids_equal_whole_text_ids():
+    rng = random.Random(3)
+    signs = "aB'sdlLvRe0 9.,$<|>\n\t\x0b\x0c\x1c\x1f\x85\xa0éÉßÀ×÷ªºµ́İσΣς中️­  　!-_"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(5000)]
+    texts += ["don't I'LL we'Ve <|endoftext|>x", "<|startoftext|>", "a'sb", ""]
+    words = WordIds(PATH)
+    for _ in range(2):  # the second time from memory
+        found = [np.frombuffer(x, "<u4").tolist() for x in words(texts)]
+        assert found == plain_ids(texts)
+
+
+def test_memory_is_bounded(monkeypatch):
+    import martkit.llm.packing as packing
+
+    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    words = WordIds(PATH)
+    texts = [f"alpha{chr(97 + i % 26)}{chr(97 + i // 26)} the" for i in range(300)]
+    for text, ids in zip(texts, plain_ids(texts)):
+        assert np.frombuffer(words([text])[0], "<u4").tolist() == ids
+    assert len(words.words.young) <= 20
+
+
+def sums(counts, room):
+    """All reachable sums by plain search."""
+    reach = {0}
+    for length, n in counts.items():
+        for _ in range(n):
+            reach |= {x + length for x in reach if x + length <= room}
+    return reach
+
+
+def test_fullest_is_fullest():
+    rng = random.Random(1)
+    for _ in range(200):
+        counts = {rng.randint(1, 60): rng.randint(1, 5) for _ in range(rng.randint(1, 6))}
+        room = rng.randint(0, 100)
+        taken = fullest(counts, room)
+        assert all(taken[x] <= counts[x] for x in taken)
+        assert sum(x * n for x, n in taken.items()) == max(sums(counts, room))
+
+
+def test_patterns_use_every_piece_once():
+    rng = random.Random(2)
+    counts = {rng.randint(1, 2048): rng.randint(1, 400) for _ in range(500)}
+    used = {}
+    bins = 0
+    for pattern, times in bin_patterns(counts, 2048):
+        assert sum(x * n for x, n in pattern.items()) <= 2048
+        bins += times
+        for x, n in pattern.items():
+            used[x] = used.get(x, 0) + n * times
+    assert used == counts
+    assert bins <= 1.02 * sum(x * n for x, n in counts.items()) / 2048 + 1
+
+
+def check_packing(rows, ids, capacity):
+    """Pieces make up the documents and sequences have no gap."""
+    docs = {}
+    for r in rows:
+        docs.setdefault(r["doc_id"], []).append(r)
+    places = {}
+    for r in rows:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for place in places.values():
+        at = 0
+        for offset, length in sorted(place):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(places)
+
+
+@pytest.mark.parametrize("capacity", [7, 64, 2048])
+def test_awkward_rows(spark, capacity):
+    frame = awkward(spark)
+    texts = [r["text"] or "" for r in frame.select("text").collect()]
+    rows = pack_documents(frame, PATH, capacity, with_ids=True).collect()
+    check_packing(rows, None, capacity)
+    pieces = []
+    for ids in plain_ids(texts):
+        ids = ids + [0]
+        for piece, at in enumerate(range(0, len(ids), capacity)):
+            part = np.array(ids[at : at + capacity], "<u4").tobytes()
+            pieces.append((piece, at, len(part) // 4, zlib.crc32(part), part))
+    found = [(r["piece"], r["start"], r["length"], r["ids_crc32"], bytes(r["ids"])) for r in rows]
+    assert sorted(found) == sorted(pieces)
+
+
+def test_a_third_of_equal_rows(spark):
+    rows = [(i, "same text here" if i % 3 else f"text {i} " * (i % 40), "en", "a", 1) for i in range(900)]
+    found = pack_documents(spark.createDataFrame(rows, SCHEMA), PATH, 64).collect()
+    bins = check_packing(found, None, 64)
+    assert bins <= sum(r["length"] for r in found) / 64 * 1.02 + 1
+
+
+def test_empty_table(spark):
+    assert pack_documents(empty(spark), PATH).collect() == []

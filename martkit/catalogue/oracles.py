@@ -36,6 +36,18 @@ MART = """mart AS (
          retrieval_date, CAST(store_id AS VARCHAR) AS store_id
   FROM priced)"""
 
+# The day a snapshot was taken, as its text has it, decides how it is damaged.
+DAMAGED = f"""WITH {SALES}, {RATES}, taken AS (
+  SELECT day, strftime(CAST(day AS TIMESTAMP) + INTERVAL 16 HOUR, '%Y-%m-%d') AS taken,
+         day(CAST(day AS TIMESTAMP) + INTERVAL 16 HOUR) % 4 AS kind,
+         CAST(jpy AS VARCHAR) AS jpy
+  FROM (SELECT retrieval_date AS day, max(rates) AS jpy FROM rates GROUP BY ALL))"""
+
+ARRIVED = f"""WITH {SALES}, arrived AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(purchase_id AS BIGINT) % 4 < 2 THEN '2024-02-01' ELSE '2024-02-02' END
+      AS retrieval_date) FROM sales)"""
+
 TO_RATES = f"WITH {SALES}, {RATES}"
 TO_PRICED = f"{TO_RATES}, {PRICED}"
 TO_MART = f"{TO_PRICED}, {MART}"
@@ -62,21 +74,24 @@ def _versions(condition: str, value: str = "value") -> str:
 COMMITTED = """batches AS (
   SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d') AS day, value,
          CASE WHEN day <= '2024-01-10' THEN '20240110000000000'
-              WHEN day <= '2024-01-20' THEN '20240120000000000' END AS _commit_time
+              WHEN day <= '2024-01-20' THEN '20240120000000000'
+              ELSE '20240130000000000' END AS _commit_time
   FROM events),
 written AS (
   SELECT *, row_number() OVER (
     PARTITION BY user_id ORDER BY _commit_time DESC, event_id DESC) AS place
-  FROM batches WHERE _commit_time IS NOT NULL),
+  FROM batches WHERE _commit_time <= '{last}'),
 gone AS (
   SELECT DISTINCT user_id FROM batches
-  WHERE _commit_time IS NULL AND event_type = 'error' AND value > 30)"""
+  WHERE _commit_time > '20240120000000000' AND event_type = 'error' AND value > 30)"""
+EVERY = COMMITTED.replace("{last}", "20240130000000000")
+EARLY = COMMITTED.replace("{last}", "20240120000000000")
 
 COMMITTED_COLUMNS = """_commit_time, CAST(user_id AS VARCHAR) AS _record_key,
     day AS _partition_path, user_id, event_type, event_id, day,
     CASE WHEN _commit_time > '20240110000000000' THEN value END AS value"""
 
-SNAPSHOT = f"""WITH {COMMITTED} SELECT {COMMITTED_COLUMNS} FROM written
+SNAPSHOT = f"""WITH {EVERY} SELECT {COMMITTED_COLUMNS} FROM written
   WHERE place = 1 AND user_id NOT IN (SELECT user_id FROM gone)"""
 
 POINTS = """points AS (
@@ -110,12 +125,34 @@ ORACLES = {
         FROM customer CROSS JOIN (VALUES ('A'), ('B')) AS k(kind)""",
     "json_pages_explode": f"""WITH {SALES}
         SELECT page, store_id, purchase_id, scale, store_name,
-               date_trunc('milliseconds', time) AS time, sales FROM sales""",
+               time, sales FROM sales""",
     "malformed_pages": """SELECT c_custkey AS page,
           CASE c_custkey % 7 WHEN 1 THEN 'missing' WHEN 2 THEN 'empty' WHEN 4 THEN 'no data'
                              WHEN 5 THEN 'bad field' ELSE 'unparsable' END AS reason
         FROM customer WHERE c_custkey % 7 <> 6""",
     "raw_land_read": f"WITH {SALES} SELECT * FROM sales",
+    "ingest_hours": f"{ARRIVED} SELECT * FROM arrived",
+    "mart_days": f"""{ARRIVED}, {RATES}, highest AS (
+          SELECT max(rates) AS rates FROM rates WHERE currency = 'JPY')
+        SELECT CAST(page AS INTEGER) AS page, purchase_id, scale, store_name, time, a.sales,
+          CASE WHEN scale = 'yen' THEN a.sales WHEN scale = 'us_doller' THEN a.sales * rates
+               ELSE a.sales END AS sales_jpy,
+          strftime(time + INTERVAL 9 HOUR, '%Y-%m-%d') AS ymd,
+          CAST(hour(time + INTERVAL 9 HOUR) AS VARCHAR) AS hh,
+          a.retrieval_date, CAST(store_id AS VARCHAR) AS store_id,
+          CAST(0 AS INTEGER) AS rows_before
+        FROM arrived a CROSS JOIN highest""",
+    "bad_rate_documents": f"""{DAMAGED}
+        SELECT currency, reason, count(DISTINCT value) AS found FROM (
+          SELECT 'EUR' AS currency, 'bad rate' AS reason, taken AS value FROM taken WHERE kind = 1
+          UNION ALL
+          SELECT c.currency, 'no timestamp', jpy
+          FROM taken CROSS JOIN (VALUES ('JPY'), ('EUR'), ('USD')) AS c(currency) WHERE kind = 2
+          UNION ALL SELECT NULL, 'unparsable', '{{bad' FROM taken WHERE kind = 3)
+        GROUP BY currency, reason""",
+    "rates_partly_damaged": f"""{DAMAGED}
+        SELECT r.* FROM rates r JOIN taken t ON r.retrieval_date = t.day
+        WHERE kind = 0 OR kind = 1 AND currency <> 'EUR'""",
     "rates_map_explode": f"{TO_RATES} SELECT * FROM rates",
     "rates_land_read": f"{TO_RATES} SELECT * FROM rates",
     "sales_rate_join": f"""{TO_RATES} SELECT s.*, r.currency, r.rates
@@ -134,6 +171,8 @@ ORACLES = {
         FROM sales""",
     "sales_mart": f"{TO_MART} SELECT * FROM mart",
     "mart_write_read": f"{TO_MART} SELECT * FROM mart",
+    "mart_day_rewrite": f"""{TO_MART} SELECT * REPLACE ('2024-02-01' AS retrieval_date)
+        FROM mart WHERE store_name < 'Store K'""",
     "mart_partitions": PARTITIONS,
     "partition_registration": PARTITIONS,
     "sales_hourly": f"""{TO_MART}
@@ -142,6 +181,9 @@ ORACLES = {
         SELECT ymd, hh, store_id, {TOTAL} FROM mart GROUP BY ymd, hh, store_id""",
     "sales_daily": DAILY,
     "stored_sales_daily": DAILY,
+    "stored_sales_daily_of_days": f"""{TO_MART}
+        SELECT ymd, store_id, retrieval_date AS day, {TOTAL} FROM mart
+        GROUP BY ymd, store_id, retrieval_date""",
     "key_counts": """SELECT event_id, nullif(event_type, 'error') AS event_type,
           count(nullif(event_type, 'error')) OVER (
             PARTITION BY nullif(event_type, 'error')) AS count
@@ -155,8 +197,8 @@ ORACLES = {
     "vt_incremental": _versions("_commit_time > '20240110' AND _commit_time <= '20240120'"),
     "vt_evolved": _versions("true", "CASE WHEN _commit_time > '20240115' THEN value END"),
     "vt_table": SNAPSHOT,
-    "vt_table_as_of": f"WITH {COMMITTED} SELECT {COMMITTED_COLUMNS} FROM written WHERE place = 1",
-    "vt_table_incremental": f"""WITH {COMMITTED} SELECT {COMMITTED_COLUMNS} FROM written
+    "vt_table_as_of": f"WITH {EARLY} SELECT {COMMITTED_COLUMNS} FROM written WHERE place = 1",
+    "vt_table_incremental": f"""WITH {EARLY} SELECT {COMMITTED_COLUMNS} FROM written
         WHERE place = 1 AND _commit_time = '20240120000000000'""",
     "vt_table_compacted": SNAPSHOT,
     "latlon_parse": f"""WITH {POINTS}

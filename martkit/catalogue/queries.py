@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +40,9 @@ from martkit.operators.mart import (
 from martkit.operators.quality import duplicate_keys, key_counts, unknown_scales
 from martkit.operators.rollup import sales_daily, sales_hourly
 from martkit.operators.versioned import COMMIT, VersionedTable, live_rows
+from martkit.plans.jobs import mart_day
 from martkit.schemas import MART, MART_PARTITIONS
-from martkit.session import require_utc, scratch_path
+from martkit.session import materialize, require_utc, scratch_path
 from martkit.sinks.catalog import (
     create_table,
     missing_partitions,
@@ -48,14 +50,22 @@ from martkit.sinks.catalog import (
     register_partitions,
     registered_partitions,
 )
-from martkit.sinks.zones import land_rates, land_raw, write_mart_days
-from martkit.sources.pages import bad_pages, fetch_pages, page_frame, parse_pages
-from martkit.sources.rates import rates_from_documents
+from martkit.sinks.zones import land_rates, land_raw, write_mart, write_mart_days
+from martkit.sources.pages import bad_pages, fetch_pages, page_frame, parse_pages, stamp
+from martkit.sources.rates import bad_documents, rates_from_documents
 from martkit.sources.zones import read_mart, read_rates, read_raw_day
 
 
-# Most sales in one envelope of json_pages_explode.
+# Sales whose ids share an envelope in json_pages_explode.
 CHUNK = 100_000
+# By default JSON is written with milliseconds.
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+# Hours of the jobs from end to end, and their local days.
+WINDOWS = [
+    HourWindow(datetime(2024, 2, day, hour, tzinfo=timezone.utc)) for day in (1, 2) for hour in (3, 4)
+]
+DAYS = ["2024-02-01", "2024-02-02"]
 
 # Instants of the vt_ queries.
 AS_OF = "20240115"
@@ -82,10 +92,10 @@ def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_pages_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales packed into page envelopes and unpacked again.
 
-    Chunks of consecutive rows bound every envelope, even if one page had all rows.
+    Chunks of consecutive ids bound every envelope, even if one page had all rows.
     """
     record = F.struct("store_id", "purchase_id", "scale", "store_name", "time", "sales")
-    chunk = F.expr(f"monotonically_increasing_id() div {CHUNK}")
+    chunk = F.expr(f"cast(purchase_id as bigint) div {CHUNK}")
     packed = (
         sales(spark, sf_dir)
         .select("page", record.alias("record"), chunk.alias("chunk"))
@@ -93,7 +103,7 @@ def json_pages_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.collect_list("record").alias("data"))
     )
     envelope = F.struct("page", F.size("data").alias("per_page"), "data")
-    bodies = packed.select("page", F.to_json(envelope).alias("sales_data"))
+    bodies = packed.select("page", F.to_json(envelope, EXACT_TIMES).alias("sales_data"))
     return naive(parse_pages(bodies))
 
 
@@ -125,6 +135,56 @@ def raw_land_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(read_raw_day(spark, root, window.day))
 
 
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """All events as page bodies, brought in by jobs of two hours on each of two days."""
+    root = scratch_path(spark, "raw")
+    record = F.struct("store_id", "purchase_id", "scale", "store_name", "time", "sales")
+    rows = sales(spark, sf_dir).select(
+        F.pmod(F.col("purchase_id").cast("bigint"), F.lit(len(WINDOWS))).alias("window"),
+        "page",
+        record.alias("record"),
+    )
+    packed = rows.groupBy("window", "page").agg(F.collect_list("record").alias("data"))
+    body = F.to_json(F.struct("page", "data"), EXACT_TIMES)
+    bodies = materialize(packed.select("window", "page", body.alias("sales_data")), "bodies")
+    for i, window in enumerate(WINDOWS):
+        fetched = bodies.where(F.col("window") == i).drop("window")
+        land_raw(stamp(parse_pages(fetched), window), root, window)
+    return root
+
+
+def ingest_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hour of every day, read back day by day"""
+    root = _ingested(spark, sf_dir)
+    days = [read_raw_day(spark, root, day) for day in DAYS]
+    return naive(days[0].unionByName(days[1]))
+
+
+def mart_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 K3 K8 K9 Q3: the daily job on what the hourly one left, read through its table.
+
+    ``rows_before`` is what the table shows of a day before its partitions are added.
+    """
+    raw = _ingested(spark, sf_dir)
+    rates_root, mart_root = scratch_path(spark, "rates"), scratch_path(spark, "mart")
+    highest = rates(spark, sf_dir).groupBy("currency").agg(F.max("rates").alias("rates"))
+    dated = [highest.withColumn("retrieval_date", F.lit(day)) for day in DAYS]
+    land_rates(dated[0].unionByName(dated[1]), rates_root)
+    database = f"money_{uuid.uuid4().hex}"
+    name = f"{database}.salesdata"
+    create_table(spark, name, MART, MART_PARTITIONS, mart_root)
+    before = {}
+    for day in DAYS:
+        before[day] = spark.table(name).where(F.col("retrieval_date") == day).count()
+        mart_day(spark, raw, rates_root, mart_root, day, table=name)
+    seen = F.create_map(*[F.lit(x) for day in DAYS for x in (day, before[day])])
+    shown = spark.table(name).withColumn("rows_before", seen[F.col("retrieval_date")])
+    # the files outlast the table
+    shown = materialize(shown, "mart-days")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return naive(shown)
+
+
 # -- rates -------------------------------------------------------------------
 
 
@@ -140,6 +200,31 @@ def rates_land_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rates(spark, root)
 
 
+def _damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots, by day of the month: whole, cut, undated, with one rate unreadable."""
+    whole = F.col("value")
+    day = F.dayofmonth(F.timestamp_seconds(F.get_json_object(whole, "$.timestamp").cast("bigint")))
+    damaged = (
+        F.when(day % 4 == 1, F.replace(whole, F.lit('"EUR":0.9375'), F.lit('"EUR":"n/a"')))
+        .when(day % 4 == 2, F.regexp_replace(whole, '"timestamp":[0-9]+', '"timestamp":null'))
+        .when(day % 4 == 3, F.lit("{bad"))
+        .otherwise(whole)
+    )
+    return rate_documents(spark, sf_dir).select(damaged.alias("value"))
+
+
+def bad_rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with damaged snapshots"""
+    return bad_documents(_damaged_documents(spark, sf_dir)).groupBy("currency", "reason").agg(
+        F.count(F.lit(1)).alias("found")
+    )
+
+
+def rates_partly_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A damaged rate takes no other with it"""
+    return rates_from_documents(_damaged_documents(spark, sf_dir))
+
+
 # -- mart --------------------------------------------------------------------
 
 
@@ -188,6 +273,22 @@ def mart_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(_stored_mart(spark, sf_dir)[1])
 
 
+def mart_day_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: all sales as one day's mart, written again with fewer stores by a session whose
+    overwrites are dynamic; the stores that are gone have to go."""
+    root, day = scratch_path(spark, "salesdata"), DAYS[0]
+    rows = mart(spark, sf_dir).withColumn("retrieval_date", F.lit(day))
+    write_mart(rows, root, day)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        write_mart(rows.where(F.col("store_name") < "Store K"), root, day)
+    finally:
+        spark.conf.set(mode, before)
+    return naive(read_mart(spark, root, day))
+
+
 def mart_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6"""
     return partitions_of(mart(spark, sf_dir), MART_PARTITIONS)
@@ -237,6 +338,14 @@ def stored_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(sales_daily(_exact(_stored_mart(spark, sf_dir)[1])))
 
 
+def stored_daily_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up of one retrieval date of the stored mart, for each of its dates"""
+    stored = _exact(_stored_mart(spark, sf_dir)[1])
+    days = [r[0] for r in stored.select("retrieval_date").distinct().orderBy(1).collect()]
+    each = [sales_daily(stored, day).withColumn("day", F.lit(day)) for day in days]
+    return _as_double(reduce(DataFrame.unionByName, each))
+
+
 # -- quality -----------------------------------------------------------------
 
 
@@ -290,23 +399,25 @@ def vt_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _versions(late.unionByName(early, allowMissingColumns=True))
 
 
-def _committed(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    """Events through real commits: create, wider upsert, delete."""
+def _committed(spark: SparkSession, sf_dir: str, compacted: bool = False) -> VersionedTable:
+    """All events through real commits: create, wider upsert, upsert, delete."""
     day = F.date_format("ts", "yyyy-MM-dd").alias("day")
     events = table(spark, sf_dir, "events").select(
         "user_id", "event_type", "event_id", day, "value"
     )
     first = events.where(F.col("day") <= "2024-01-10").drop("value")
     second = events.where(F.col("day").between("2024-01-11", "2024-01-20"))
-    gone = events.where(
-        (F.col("day") > "2024-01-20") & (F.col("event_type") == "error") & (F.col("value") > 30)
-    )
+    third = events.where((F.col("day") > "2024-01-20") | F.col("day").isNull())
+    gone = third.where((F.col("event_type") == "error") & (F.col("value") > 30))
     root = scratch_path(spark, "users")
     people = VersionedTable.create(
         first, root, "user_id", "day", "event_id", "20240110000000000"
     )
     people.upsert(second, "20240120000000000")
-    people.delete(gone, "20240130000000000")
+    if compacted:
+        people.compact()
+    people.upsert(third, "20240130000000000")
+    people.delete(gone, "20240131000000000")
     return people
 
 
@@ -316,7 +427,7 @@ def vt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vt_table_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7 V9: the state before the delete, read after it"""
+    """V7 V9: the state before the last commits, read after them"""
     return _committed(spark, sf_dir).as_of("20240125000000000")
 
 
@@ -327,9 +438,8 @@ def vt_table_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vt_table_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5 from a compacted state"""
-    people = _committed(spark, sf_dir)
-    people.compact()
+    """V5 from a compacted state and the commits after it"""
+    people = _committed(spark, sf_dir, compacted=True)
     return people.snapshot()
 
 
@@ -384,20 +494,26 @@ QUERIES = {
     "json_pages_explode": json_pages_explode,
     "malformed_pages": malformed_pages,
     "raw_land_read": raw_land_read,
+    "ingest_hours": ingest_hours,
+    "mart_days": mart_days,
     "rates_map_explode": rates_map_explode,
     "rates_land_read": rates_land_read,
+    "bad_rate_documents": bad_rate_documents,
+    "rates_partly_damaged": rates_partly_damaged,
     "sales_rate_join": sales_rate_join,
     "sales_unmatched": sales_unmatched,
     "sales_jpy": sales_jpy,
     "jst_split": jst_split,
     "sales_mart": sales_mart,
     "mart_write_read": mart_write_read,
+    "mart_day_rewrite": mart_day_rewrite,
     "mart_partitions": mart_partitions,
     "partition_registration": partition_registration,
     "sales_hourly": hourly,
     "sales_hourly_with_day": hourly_with_day,
     "sales_daily": daily,
     "stored_sales_daily": stored_daily,
+    "stored_sales_daily_of_days": stored_daily_of_days,
     "key_counts": counted_keys,
     "duplicate_keys": repeated_keys,
     "unknown_scales": scale_report,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -14,13 +15,13 @@ from martkit.functions.geo import (
     cell_row,
     coordinate,
     grid_level,
+    level_pair,
     on_globe,
 )
 from martkit.operators.joins import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
     WEIGHT,
-    fits_broadcast,
     lookup_join,
 )
 from martkit.schemas import GEO_RESPONSE
@@ -30,7 +31,6 @@ from martkit.sources.batches import frames
 BOX = ("south", "north", "west", "east")
 
 CORRUPT = "_corrupt_record"
-CANDIDATES = "__places"
 
 
 def parse_latlon(df: DataFrame, column: str = "latlon") -> DataFrame:
@@ -48,20 +48,36 @@ def enrich_points(
     column: str = "latlon",
     parallelism: int | None = None,
     max_rows: int = BROADCAST_ROWS,
+    on_error: str = "raise",
+    kept: str | None = None,
 ) -> DataFrame:
     """Add ``status`` and ``body``, the service's answer for each point.
 
     ``connect`` runs once per task and gives a client from point to (status,
     body). Every distinct point is asked once, by at most ``parallelism`` tasks
     at a time, and the answers are stored before use, so neither repeated points
-    nor a re-run of later steps ask again.
+    nor a re-run of later steps ask again (a task that Spark runs twice asks twice).
+    With ``on_error="report"`` a failing call gives a null status and the error as the
+    body, and the others go on. In the folder ``kept`` answers outlast the job: a later
+    run adds to it, and asks only for points it has no answer for.
     """
+    if on_error not in ("raise", "report"):
+        raise ValueError("on_error is 'raise' or 'report'")
+
+    def answer(client, point):
+        try:
+            return client(point)
+        except Exception as error:
+            if on_error == "raise":
+                raise
+            return None, f"{type(error).__name__}: {error}"[:1000]
 
     def ask(batches):
         client = connect()
         for batch in batches:
-            answers = ((point, *client(point)) for point in batch[column])
-            yield from frames(answers, [column, "status", "body"])
+            answers = ((point, *answer(client, point)) for point in batch[column])
+            for frame in frames(answers, [column, "status", "body"]):
+                yield frame.astype({"status": "Int32"})
 
     schema = StructType(
         [
@@ -73,11 +89,30 @@ def enrich_points(
     points = df.groupBy(column).agg(F.count(F.lit(1)).alias(WEIGHT)).dropna(subset=[column])
     points = materialize(points, "points")
     tasks = parallelism or df.sparkSession.sparkContext.defaultParallelism
-    answers = points.select(column).repartition(tasks).mapInPandas(ask, schema)
-    answers = materialize(answers, "answers")
+    open_points = points.select(column)
+    known = _kept_answers(df.sparkSession, kept, schema) if kept else None
+    if known is not None:
+        open_points = lookup_join(open_points, known.select(column), [column], "left_anti")
+    answers = materialize(open_points.repartition(tasks).mapInPandas(ask, schema), "answers")
+    if kept:
+        answers.where(F.col("status").isNotNull()).write.mode("append").parquet(kept)
+    if known is not None:
+        answers = answers.unionByName(known)
     return lookup_join(df, answers, [column], weights=points, max_rows=max_rows)
 
 
+def _kept_answers(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """Answers of earlier runs, one for each point."""
+    try:
+        stored = spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    # stored once more, as the folder grows while this run reads it
+    return materialize(stored.dropDuplicates([schema.names[0]]), "kept-answers")
+
+
 def parse_response(df: DataFrame, column: str = "body") -> DataFrame:
     """Add ``place``, the parsed answer, and ``malformed``.
 
@@ -106,10 +141,15 @@ def response_box(df: DataFrame, column: str = "place") -> DataFrame:
 
 # -- by a table of boxes ---------------------------------------------------
 #
-# A box is filed under the grid cells it touches, at the level whose cells are
-# just no smaller than the box: a handful of cells, whatever the box's size. A
-# point looks into one cell per level in use. Both sides compute cells with the
-# same monotone expressions, so a containing box is always found.
+# A box is filed under the grid cells it touches. Height and width each choose a level
+# whose cells are just no smaller, so a box touches a handful of cells whatever its size
+# or shape, and a long thin one is not filed with all points along it. A point looks into
+# one cell for each pair of levels in use. Both sides compute cells with the same monotone
+# expressions, so a containing box is always found.
+
+CELL = "__cell"
+PLACE = "__place"
+BEST = "__best"
 
 
 def locate(
@@ -123,22 +163,20 @@ def locate(
     """Add ``payload`` of the smallest box around each point (``lat``, ``lon``).
 
     Equal areas are decided by the least ``tie``, which must be a payload
-    column; points in no box get nulls. Places that fit the bounds are broadcast
-    and the points pass through without a shuffle, otherwise see ``_by_cells``.
+    column; points in no box get nulls. Each distinct point is located once.
     """
     order = [tie, *[c for c in payload if c != tie]]
     boxes, levels = _boxes(places, order)
-    if fits_broadcast(boxes, max_rows, max_bytes):
-        hits = F.filter(CANDIDATES, _contains(F.col("lat"), F.col("lon")))
-        best = _with_candidates(points, boxes, levels).select(
-            *[f"`{c}`" for c in points.columns], F.array_min(hits).alias("__best")
-        )
-        return best.select(*points.columns, *[F.col(f"__best.{c}").alias(c) for c in payload])
-    distinct = _distinct_points(points)
-    hits = _by_cells(distinct, boxes, levels, max_rows)
-    best = materialize(hits.groupBy("lat", "lon").agg(F.min("place").alias("__best")), "located")
+    valid = points.where(on_globe(F.col("lat"), F.col("lon")))
+    distinct = valid.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias(WEIGHT))
+    distinct = materialize(distinct, "points")
+    hits = _hits(distinct.select("lat", "lon"), boxes, levels, max_rows, max_bytes)
+    best = materialize(hits.groupBy("lat", "lon").agg(F.min(PLACE).alias(BEST)), "located")
     located = lookup_join(points, best, ["lat", "lon"], weights=distinct, max_rows=max_rows)
-    return located.select(*points.columns, *[F.col(f"__best.{c}").alias(c) for c in payload])
+    return located.select(
+        *[F.col(f"`{c}`") for c in points.columns],
+        *[F.col(f"{BEST}.{c}").alias(c) for c in payload],
+    )
 
 
 def containing_boxes(
@@ -150,23 +188,15 @@ def containing_boxes(
 ) -> DataFrame:
     """Points joined with every box around them; a range join."""
     boxes, levels = _boxes(places, payload)
-    names = [F.col(f"place.{c}").alias(c) for c in payload]
-    if fits_broadcast(boxes, max_rows, max_bytes):
-        hits = F.filter(CANDIDATES, _contains(F.col("lat"), F.col("lon")))
-        joined = _with_candidates(points, boxes, levels)
-        return joined.select(*points.columns, F.explode(hits).alias("place")).select(
-            *points.columns, *names
-        )
-    distinct = _distinct_points(points)
-    hits = materialize(_by_cells(distinct, boxes, levels, max_rows), "boxes")
-    joined = lookup_join(
-        points, hits, ["lat", "lon"], "inner", weights=distinct, max_rows=max_rows
+    hits = _hits(points, boxes, levels, max_rows, max_bytes)
+    return hits.select(
+        *[F.col(f"`{c}`") for c in points.columns],
+        *[F.col(f"{PLACE}.{c}").alias(c) for c in payload],
     )
-    return joined.select(*points.columns, *names)
 
 
 def _boxes(places: DataFrame, order: list[str]) -> tuple[DataFrame, list[int]]:
-    """(cell, place) for every cell a valid box touches, and the levels in use.
+    """(cell, place) for every cell a valid box touches, and the pairs of levels in use.
 
     A box without bounds, or with bounds the wrong way round, contains no point.
     """
@@ -179,78 +209,59 @@ def _boxes(places: DataFrame, order: list[str]) -> tuple[DataFrame, list[int]]:
     place = F.struct(
         ((north - south) * (east - west)).alias("area"),
         *order,
-        *[F.col(name).alias(f"__{name}") for name in BOX],
     )
+    bounds = [f"__{name}" for name in BOX]
     # cells of the part that lies on the globe; the test uses the whole box
     bottom, top = F.greatest(south, F.lit(-90.0)), F.least(north, F.lit(90.0))
     left, right = F.greatest(west, F.lit(-180.0)), F.least(east, F.lit(180.0))
-    level = F.col("level")
+    row_level, column_level = F.col("row_level"), F.col("column_level")
     leveled = valid.select(
-        place.alias("place"),
+        place.alias(PLACE),
+        *[F.col(name).alias(bound) for name, bound in zip(BOX, bounds)],
         bottom.alias("bottom"),
         top.alias("top"),
         left.alias("left"),
         right.alias("right"),
-        grid_level(top - bottom, right - left).alias("level"),
+        grid_level(top - bottom).alias("row_level"),
+        grid_level(right - left).alias("column_level"),
+    ).withColumn("pair", level_pair(row_level, column_level))
+    rows = F.sequence(cell_row(F.col("bottom"), row_level), cell_row(F.col("top"), row_level))
+    columns = F.sequence(
+        cell_column(F.col("left"), column_level), cell_column(F.col("right"), column_level)
     )
-    rows = F.sequence(cell_row(F.col("bottom"), level), cell_row(F.col("top"), level))
-    columns = F.sequence(cell_column(F.col("left"), level), cell_column(F.col("right"), level))
     boxes = (
         leveled.withColumn("row", F.explode(rows))
         .withColumn("column", F.explode(columns))
-        .select(cell_key(level, F.col("row"), F.col("column")).alias("cell"), "place")
-    )
-    levels = [row[0] for row in leveled.select("level").distinct().collect()]
-    return boxes, sorted(levels)
-
-
-def _point_cell(level: int) -> Column:
-    """The point's cell at a level, null off the globe."""
-    lat, lon, at = F.col("lat"), F.col("lon"), F.lit(level)
-    return F.when(on_globe(lat, lon), cell_key(at, cell_row(lat, at), cell_column(lon, at)))
-
-
-def _contains(lat: Column, lon: Column):
-    def test(place: Column) -> Column:
-        return lat.between(place["__south"], place["__north"]) & lon.between(
-            place["__west"], place["__east"]
+        .select(
+            cell_key(F.col("pair"), F.col("row"), F.col("column")).alias(CELL),
+            "pair",
+            PLACE,
+            *bounds,
         )
-
-    return test
-
-
-def _with_candidates(points: DataFrame, boxes: DataFrame, levels: list[int]) -> DataFrame:
-    """Add ``__places``, the boxes filed under the point's cells.
-
-    One broadcast, shared by all levels, with one entry per cell: a row stays one
-    row. The lists are bounded because the whole table of boxes is.
-    """
-    by_cell = F.broadcast(boxes.groupBy("cell").agg(F.collect_list("place").alias("found")))
-    kind = by_cell.schema["found"].dataType
-    found = [F.array().cast(kind)]
-    for level in levels:
-        points = points.withColumn("cell", _point_cell(level)).join(by_cell, "cell", "left")
-        points = points.withColumnRenamed("found", f"__found_{level}").drop("cell")
-        found.append(F.coalesce(F.col(f"__found_{level}"), F.array().cast(kind)))
-    return points.withColumn(CANDIDATES, F.concat(*found))
+    )
+    boxes = materialize(boxes, "boxes")
+    pairs = [row[0] for row in boxes.select("pair").distinct().collect()]
+    return boxes.drop("pair"), sorted(pairs)
 
 
-def _distinct_points(points: DataFrame) -> DataFrame:
-    valid = points.where(on_globe(F.col("lat"), F.col("lon")))
-    counted = valid.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias(WEIGHT))
-    return materialize(counted, "points")
+def _point_cell(pair: int) -> Column:
+    """The point's cell at a pair of levels, null off the globe."""
+    lat, lon = F.col("lat"), F.col("lon")
+    row, column = cell_row(lat, F.lit(pair // 32)), cell_column(lon, F.lit(pair % 32))
+    return F.when(on_globe(lat, lon), cell_key(F.lit(pair), row, column))
 
 
-def _by_cells(
-    distinct: DataFrame, boxes: DataFrame, levels: list[int], max_rows: int
+def _hits(
+    points: DataFrame, boxes: DataFrame, pairs: list[int], max_rows: int, max_bytes: int
 ) -> DataFrame:
-    """(lat, lon, place) for every box around a distinct point, joined by cell.
+    """``points`` with ``__place`` for every box around them, joined by cell.
 
-    Busy cells are salted by ``lookup_join``; the exact test follows in the same
-    stage, so only true hits go on.
+    Boxes within the bounds are broadcast; beyond, busy cells are salted by
+    ``lookup_join``. The exact test is a condition of the join, so only true hits go on.
     """
-    cells = F.explode(F.array(*[_point_cell(level) for level in levels]))
-    keyed = distinct.select("lat", "lon", cells.alias("cell"))
-    pairs = lookup_join(keyed, boxes, ["cell"], "inner", max_rows=max_rows)
-    inside = _contains(F.col("lat"), F.col("lon"))(F.col("place"))
-    return pairs.where(inside).select("lat", "lon", "place")
+    cells = [_point_cell(pair) for pair in pairs] or [F.lit(None).cast("bigint")]
+    keyed = points.withColumn(CELL, F.explode(F.array(*cells)))
+    found = lookup_join(keyed, boxes, [CELL], "inner", max_rows=max_rows, max_bytes=max_bytes)
+    inside = F.col("lat").between(F.col("__south"), F.col("__north"))
+    inside &= F.col("lon").between(F.col("__west"), F.col("__east"))
+    return found.where(inside)

@@ -12,8 +12,15 @@ from martkit.operators.joins import BROADCAST_ROWS, HOT_ROWS, WEIGHT, lookup_joi
 from martkit.session import materialize
 
 
+COUNT = "__count"
+
+
 class DuplicateKeys(ValueError):
-    """Keys that should be unique are not."""
+    """Keys that should be unique are not; ``keys`` holds all of them, with counts."""
+
+    def __init__(self, message: str, keys: DataFrame | None = None):
+        super().__init__(message)
+        self.keys = keys
 
 
 def key_counts(
@@ -27,16 +34,17 @@ def key_counts(
 
     The result is that of ``count(key) over (partition by key)``, but a window
     moves every row, with all its columns, to the one task of its key. Here keys
-    and partial counts are shuffled, and only repeated keys are joined back.
+    and partial counts are shuffled, and only repeated keys are joined back. A column
+    ``name`` of the input is replaced.
     """
-    repeated = df.groupBy(key).agg(F.count(key).alias(name)).where(F.col(name) > 1)
+    repeated = df.groupBy(key).agg(F.count(key).alias(COUNT)).where(F.col(COUNT) > 1)
     repeated = materialize(repeated, "key-counts")
-    weights = repeated.select(key, F.col(name).alias(WEIGHT))
+    weights = repeated.select(key, F.col(COUNT).alias(WEIGHT))
     counted = lookup_join(
         df, repeated, [key], weights=weights, max_rows=max_rows, hot_rows=hot_rows
     )
     alone = F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.lit(1))
-    return counted.withColumn(name, F.coalesce(F.col(name), alone).cast("bigint"))
+    return counted.withColumn(name, F.coalesce(F.col(COUNT), alone).cast("bigint")).drop(COUNT)
 
 
 def duplicate_keys(
@@ -58,17 +66,21 @@ def assert_unique(
     max_listed: int = 20,
     nulls_as_violation: bool = False,
 ) -> None:
-    """Raise, or warn, listing up to ``max_listed`` of the repeated keys."""
+    """Raise, or warn, naming up to ``max_listed`` of the repeated keys in the message.
+
+    The exception's ``keys`` is a DataFrame of all of them.
+    """
     if on_fail not in ("error", "warn"):
         raise ValueError("on_fail is 'error' or 'warn'")
-    found = duplicate_keys(df, keys, nulls_as_violation).limit(max_listed + 1).collect()
+    every = duplicate_keys(df, keys, nulls_as_violation)
+    found = every.limit(max_listed + 1).collect()
     if not found:
         return
     listed = [row[keys[0]] if len(keys) == 1 else tuple(row)[: len(keys)] for row in found]
     more = " and more" if len(listed) > max_listed else ""
     message = f"non-unique {', '.join(keys)}: {listed[:max_listed]}{more}"
     if on_fail == "error":
-        raise DuplicateKeys(message)
+        raise DuplicateKeys(message, every)
     warnings.warn(message, stacklevel=2)
 
 

@@ -4,36 +4,55 @@ Every commit appends its rows, or tombstones, under its own directory and then
 one line to the timeline. Readers open only the directories the timeline names,
 so a commit that died half-way stays invisible. One writer at a time.
 
-    root/log/_commit_time=<instant>/    rows and tombstones of a commit
-    root/state/_state_time=<instant>/   live rows as of that instant (compact)
-    root/timeline/                      one JSON line per commit
+    root/<generation>/log/_commit_time=<instant>/    rows and tombstones of a commit
+    root/<generation>/state/_state_time=<instant>/   live rows as of that instant (compact)
+    root/timeline/                                   one JSON line per commit
+
+``create`` starts a new generation; lines of older ones no longer count.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+
+from martkit.operators.joins import lookup_join
 
 COMMIT = "_commit_time"
 DELETED = "_deleted"
 RECORD_KEY = "_record_key"
 PARTITION_PATH = "_partition_path"
 RANK = "__rank"
+# What reads add to rows or writes keep with them; a batch's columns of these names are
+# not stored, so rows of a snapshot can be written back.
+RESERVED = (COMMIT, DELETED, RECORD_KEY, PARTITION_PATH, RANK)
 
 COMMIT_FIELD = StructField(COMMIT, StringType())
 DELETED_FIELD = StructField(DELETED, BooleanType())
 
 TIMELINE = StructType(
     [
-        StructField(name, StringType())
-        for name in ("commit_time", "operation", "schema", "key", "partition", "precombine")
+        StructField("number", LongType()),
+        *[
+            StructField(name, StringType())
+            for name in (
+                "commit_time",
+                "operation",
+                "schema",
+                "key",
+                "partition",
+                "precombine",
+                "generation",
+            )
+        ],
     ]
 )
 
@@ -75,19 +94,56 @@ def one_per_key(batch: DataFrame, key: str, precombine: str) -> DataFrame:
     return latest_versions(batch, key, [*newest_first([precombine]), tie])
 
 
-def evolve(old: StructType, new: StructType) -> StructType:
-    """``old`` plus the columns only ``new`` has; a changed type is an error."""
-    known = {field.name: field.dataType for field in old.fields}
+def evolve(old: StructType, new: StructType, case_sensitive: bool = False) -> StructType:
+    """``old`` plus the columns only ``new`` has; a changed type is an error.
+
+    Names are the same as the session resolves them; the stored spelling stays.
+    """
+
+    def folded(name: str) -> str:
+        return name if case_sensitive else name.lower()
+
+    known = {folded(field.name): field.dataType for field in old.fields}
     for field in new.fields:
-        if known.get(field.name, field.dataType) != field.dataType:
+        kind = known.get(folded(field.name), field.dataType)
+        if kind != field.dataType:
             raise ValueError(
-                f"column {field.name} is {known[field.name].simpleString()}, "
+                f"column {field.name} is {kind.simpleString()}, "
                 f"not {field.dataType.simpleString()}"
             )
-    added = [StructField(f.name, f.dataType) for f in new.fields if f.name not in known]
+    added = [StructField(f.name, f.dataType) for f in new.fields if folded(f.name) not in known]
     return StructType([*old.fields, *added])
 
 
+def plain_batch(batch: DataFrame, stored: list[str], required: list[str]) -> DataFrame:
+    """``batch`` without reserved columns, known columns spelled as ``stored``.
+
+    A batch that lacks a required column, or holds a null in the first of them, the
+    record key, is refused.
+    """
+    sensitive = _case_sensitive(batch.sparkSession)
+
+    def folded(name: str) -> str:
+        return name if sensitive else name.lower()
+
+    names = [c for c in batch.columns if folded(c) not in {folded(r) for r in RESERVED}]
+    if len({folded(c) for c in names}) < len(names):
+        raise ValueError(f"column names repeat: {names}")
+    spelled = {folded(c): c for c in [*required, *stored]}
+    rows = batch.select([F.col(f"`{c}`").alias(spelled.get(folded(c), c)) for c in names])
+    missing = [c for c in required if c not in rows.columns]
+    if missing:
+        raise ValueError(f"the batch lacks {', '.join(missing)}")
+    nulls = rows.where(F.col(f"`{required[0]}`").isNull()).count()
+    if nulls:
+        raise ValueError(f"{nulls} rows have no {required[0]}")
+    return rows
+
+
+def _case_sensitive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive") == "true"
+
+
 @dataclass(frozen=True)
 class Commit:
     commit_time: str
@@ -107,6 +163,7 @@ class VersionedTable:
         self.root = root.rstrip("/")
         first = self._history(LAST)[0]
         self.key, self.partition, self.precombine = first.key, first.partition, first.precombine
+        self.generation = first.generation
 
     # -- writes ----------------------------------------------------------
 
@@ -114,24 +171,28 @@ class VersionedTable:
     def create(
         cls, df: DataFrame, root: str, key: str, partition: str, precombine: str, commit_time: str
     ) -> VersionedTable:
-        """Make a table of the batch, replacing any table at ``root``."""
+        """Make a table of the batch, replacing any table at ``root``.
+
+        The rows go to a folder of their own, and the line that brings them into use
+        comes last: if the batch fails, the table that was there stays.
+        """
         _check_instant(commit_time)
-        spark, root = df.sparkSession, root.rstrip("/")
-        # no line, no table: readers see none until the first commit is complete
-        spark.createDataFrame([], TIMELINE).write.mode("overwrite").json(f"{root}/timeline")
         table = cls.__new__(cls)
-        table.spark, table.root = spark, root
+        table.spark, table.root = df.sparkSession, root.rstrip("/")
         table.key, table.partition, table.precombine = key, partition, precombine
-        rows = one_per_key(df, key, precombine).withColumn(DELETED, F.lit(False))
-        logged = rows.withColumn(COMMIT, F.lit(commit_time))
-        logged.write.mode("overwrite").partitionBy(COMMIT).parquet(f"{root}/log")
+        table.generation = uuid.uuid4().hex
+        df = plain_batch(df, [], [key, partition, precombine])
+        rows = one_per_key(df, key, precombine)
+        table._write(rows.withColumn(DELETED, F.lit(False)), commit_time)
         table._append_line(commit_time, "create", _nullable(df.schema))
         return table
 
     def upsert(self, df: DataFrame, commit_time: str) -> None:
         """Insert new keys, replace known ones whole-row; may bring new columns."""
         last = self._next(commit_time)
-        schema = evolve(last.columns, _nullable(df.schema))
+        required = [self.key, self.partition, self.precombine]
+        df = plain_batch(df, last.columns.names, required)
+        schema = evolve(last.columns, _nullable(df.schema), _case_sensitive(self.spark))
         rows = one_per_key(df, self.key, self.precombine)
         self._write(rows.withColumn(DELETED, F.lit(False)), commit_time)
         self._append_line(commit_time, "upsert", schema)
@@ -139,7 +200,7 @@ class VersionedTable:
     def delete(self, df: DataFrame, commit_time: str) -> None:
         """Delete the keys of the batch; its other columns do not matter."""
         last = self._next(commit_time)
-        keys = df.select(self.key).distinct()
+        keys = plain_batch(df.select(self.key), [], [self.key]).distinct()
         self._write(keys.withColumn(DELETED, F.lit(True)), commit_time)
         self._append_line(commit_time, "delete", last.columns)
 
@@ -153,8 +214,7 @@ class VersionedTable:
         if Commit(last.commit_time, "compact") in commits:
             return last.commit_time
         rows = self.snapshot().drop(RECORD_KEY, PARTITION_PATH)
-        path = f"{self.root}/state/_state_time={last.commit_time}"
-        rows.write.mode("overwrite").parquet(path)
+        self._replace(rows, f"state/_state_time={last.commit_time}")
         self._append_line(last.commit_time, "compact", last.columns)
         return last.commit_time
 
@@ -171,13 +231,20 @@ class VersionedTable:
         schema = last.columns
         states = [c.commit_time for c in commits if c.operation == "compact"]
         start = max(states, default=None)
-        rows = self._read_log(schema, commits, after=start)
-        if start is not None:
-            state = self.spark.read.schema(StructType([COMMIT_FIELD, *schema.fields])).parquet(
-                f"{self.root}/state/_state_time={start}"
-            )
-            rows = rows.unionByName(state.withColumn(DELETED, F.lit(False)))
-        return self._described(live_rows(rows, self.key), schema)
+        if start is None:
+            return self._described(live_rows(self._read_log(schema, commits), self.key), schema)
+        state = self.spark.read.schema(StructType([COMMIT_FIELD, *schema.fields])).parquet(
+            self._path(f"state/_state_time={start}")
+        )
+        later = [c for c in commits if c.operation != "compact" and c.commit_time > start]
+        if later:
+            # the stored state loses the keys that changed since, and only these are ranked
+            log = self._read_log(schema, later)
+            changed = latest_versions(log, self.key, newest_first([COMMIT]))
+            state = lookup_join(state, changed.select(self.key), [self.key], "left_anti")
+            live = changed.where(~F.coalesce(F.col(DELETED), F.lit(False))).drop(DELETED)
+            state = state.unionByName(live)
+        return self._described(state, schema)
 
     def incremental(self, begin: str, end: str | None = None) -> DataFrame:
         """Rows written after ``begin`` up to ``end`` (inclusive), as at ``end``.
@@ -204,8 +271,15 @@ class VersionedTable:
             lines = self.spark.read.schema(TIMELINE).json(f"{self.root}/timeline")
         except AnalysisException as missing:
             raise NoSuchTable(self.root) from missing
+        created = lines.where("operation = 'create'").agg(
+            F.max(F.struct("number", "generation")).alias("newest")
+        )
+        newest = created.first()["newest"]
+        if newest is None:
+            raise NoSuchTable(self.root)
+        lines = lines.where(F.col("generation") == newest["generation"])
         found = lines.where(F.col("commit_time") <= end).agg(
-            F.max(F.struct(*TIMELINE.names)).alias("last"),
+            F.max(F.struct("commit_time", "number", *TIMELINE.names[2:])).alias("last"),
             F.collect_list(F.struct("commit_time", "operation")).alias("commits"),
         )
         row = found.first()
@@ -215,7 +289,13 @@ class VersionedTable:
         return _Line(**row["last"].asDict()), commits
 
     def _append_line(self, commit_time: str, operation: str, schema: StructType) -> None:
-        line = (commit_time, operation, schema.json(), self.key, self.partition, self.precombine)
+        try:
+            lines = self.spark.read.schema(TIMELINE).json(f"{self.root}/timeline")
+            number = (lines.agg(F.max("number")).first()[0] or 0) + 1
+        except AnalysisException:
+            number = 1
+        names = (self.key, self.partition, self.precombine, self.generation)
+        line = (number, commit_time, operation, schema.json(), *names)
         frame = self.spark.createDataFrame([line], TIMELINE).coalesce(1)
         frame.write.mode("append").json(f"{self.root}/timeline")
 
@@ -228,20 +308,23 @@ class VersionedTable:
 
     def _write(self, rows: DataFrame, commit_time: str) -> None:
         # overwrite: leftovers of a failed try at this very instant go away
-        rows.write.mode("overwrite").parquet(f"{self.root}/log/{COMMIT}={commit_time}")
+        self._replace(rows, f"log/{COMMIT}={commit_time}")
+
+    def _replace(self, rows: DataFrame, folder: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.parquet(self._path(folder))
+
+    def _path(self, folder: str) -> str:
+        return f"{self.root}/{self.generation}/{folder}"
 
-    def _read_log(
-        self, schema: StructType, commits: list[Commit], after: str | None = None
-    ) -> DataFrame:
+    def _read_log(self, schema: StructType, commits: list[Commit]) -> DataFrame:
         stored = StructType([*schema.fields, DELETED_FIELD, COMMIT_FIELD])
         paths = [
-            f"{self.root}/log/{COMMIT}={c.commit_time}"
-            for c in commits
-            if c.operation != "compact" and (after is None or c.commit_time > after)
+            self._path(f"log/{COMMIT}={c.commit_time}") for c in commits if c.operation != "compact"
         ]
         if not paths:
             return self.spark.createDataFrame([], stored)
-        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/log")
+        reader = self.spark.read.schema(stored).option("basePath", self._path("log"))
         return reader.parquet(*paths)
 
     def _described(self, rows: DataFrame, schema: StructType) -> DataFrame:
@@ -264,6 +347,8 @@ class _Line:
     key: str
     partition: str
     precombine: str
+    generation: str
+    number: int
 
     @property
     def columns(self) -> StructType:

@@ -37,14 +37,16 @@ ENVELOPE = struct(
     data=ArrayType(SALE),
 )
 
-FETCHED = struct(page=LongType(), sales_data=StringType())
+# ``error`` says why a page has no body, if it could not be fetched.
+FETCHED = struct(page=LongType(), sales_data=StringType(), error=StringType())
 
 RAW_SALES = StructType(
     [StructField("page", LongType()), *SALE.fields, StructField("retrieval_date", StringType())]
 )
 
-# Exchange-rate snapshot document and the table made of it.
-RATES_DOCUMENT = struct(timestamp=LongType(), rates=MapType(StringType(), DoubleType()))
+# Exchange-rate snapshot document and the table made of it. Rates are read as text, so
+# that a damaged one does not take the others with it.
+RATES_DOCUMENT = struct(timestamp=LongType(), rates=MapType(StringType(), StringType()))
 RATES = struct(currency=StringType(), rates=DoubleType(), retrieval_date=StringType())
 
 # Columns of the mart, the two partition columns last.

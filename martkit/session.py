@@ -29,17 +29,20 @@ BUILD_CONF = {
 }
 
 
-# Shuffle partitions: no fewer than Spark's default, no more than the driver's
-# bookkeeping bears; adaptive execution merges those that turn out small.
+# Shuffle partitions: no fewer than Spark's default, and an error rather than partitions
+# beyond a task's memory where the driver's bookkeeping would not bear as many as it
+# takes; adaptive execution merges those that turn out small.
 PARTITION_BYTES = 256 << 20
-PARTITIONS = (200, 100_000)
+PARTITIONS = (200, 1_000_000)
 
 
 def sizing(shuffle_bytes: int) -> dict[str, str]:
     """Settings for a job whose widest shuffle moves about ``shuffle_bytes``."""
     low, high = PARTITIONS
     wanted = -(-shuffle_bytes // PARTITION_BYTES)
-    return {"spark.sql.shuffle.partitions": str(min(max(wanted, low), high))}
+    if wanted > high:
+        raise ValueError(f"{shuffle_bytes} bytes take {wanted} partitions; split the job")
+    return {"spark.sql.shuffle.partitions": str(max(wanted, low))}
 
 
 def build_session(
@@ -89,6 +92,16 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored in the shared folder.
+
+    For the end of a job: frames that read a stored table are of no use afterwards.
+    """
+    path = f"{shared_dir(spark)}/martkit/{spark.sparkContext.applicationId}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, grouped by application for clean-up."""
     app = spark.sparkContext.applicationId

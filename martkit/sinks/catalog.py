@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,9 @@ MART_TABLE = "money.salesdata"
 # Fixed value: how a partition path spells null.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+# Days up to which the catalog is asked day by day for what it knows of them.
+LISTED_DAYS = 64
+
 # Partitions per ALTER TABLE statement.
 STATEMENT_SIZE = 500
 
@@ -50,25 +54,35 @@ def partitions_of(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys).distinct()
 
 
-def registered_partitions(spark: SparkSession, table: str, keys: list[str]) -> DataFrame:
-    """Partition values the catalog knows for ``table``."""
+def registered_partitions(
+    spark: SparkSession, table: str, keys: list[str], within: dict[str, str] | None = None
+) -> DataFrame:
+    """Partition values the catalog knows for ``table``, all or those ``within`` values."""
     levels = F.split("partition", "/")
-    return spark.sql(f"SHOW PARTITIONS {table}").select(
-        *[_path_value(levels[i], key).alias(key) for i, key in enumerate(keys)]
-    )
+    part = ", ".join(f"{key} = {_text(value)}" for key, value in (within or {}).items())
+    listed = spark.sql(f"SHOW PARTITIONS {table}" + (f" PARTITION ({part})" if part else ""))
+    return listed.select(*[_path_value(levels[i], key).alias(key) for i, key in enumerate(keys)])
 
 
 def partition_exists(spark: SparkSession, table: str, values: dict[str, str]) -> bool:
-    known = registered_partitions(spark, table, list(values))
-    for key, value in values.items():
-        known = known.where(F.col(key) == value)
-    return not known.isEmpty()
+    """Asks the catalog for this one partition only."""
+    return not registered_partitions(spark, table, list(values), values).isEmpty()
 
 
 def missing_partitions(present: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Those of the ``present`` partitions that the catalog does not know."""
-    known = registered_partitions(present.sparkSession, table, keys)
-    return present.select(*keys).join(known, keys, "left_anti")
+    """Those of the ``present`` partitions that the catalog does not know.
+
+    The catalog lists only days that ``present`` holds, unless these are very many.
+    """
+    spark = present.sparkSession
+    days = [row[0] for row in present.select(keys[0]).distinct().limit(LISTED_DAYS + 1).collect()]
+    if len(days) > LISTED_DAYS or None in days:
+        known = registered_partitions(spark, table, keys)
+    else:
+        lists = [registered_partitions(spark, table, keys, {keys[0]: day}) for day in days]
+        known = reduce(DataFrame.union, lists) if lists else present.select(*keys).limit(0)
+    on = [present[key].eqNullSafe(known[key]) for key in keys]
+    return present.select(*keys).join(known, reduce(lambda a, b: a & b, on), "left_anti")
 
 
 def register_partitions(

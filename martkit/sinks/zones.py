@@ -12,6 +12,10 @@ class EmptyOverwrite(ValueError):
     """The new data is empty and would replace what is there."""
 
 
+class PartialOverwrite(ValueError):
+    """The new data is known to be incomplete and would replace what is there."""
+
+
 def land_raw(sales: DataFrame, root: str, window: HourWindow, files: int | None = None) -> str:
     """Write one hour to ``root/day/hour``; writing it again replaces it.
 
@@ -59,7 +63,8 @@ def write_mart(
         raise EmptyOverwrite(f"no mart rows for {day}; the stored ones are kept")
     path = f"{root}/retrieval_date={day}"
     writer = _partitioned(mart.drop("retrieval_date"), ["store_id"], sort_by_time)
-    writer.mode("overwrite").parquet(path)
+    # whatever the session's mode is, stores that are gone have to go
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return path
 
 

@@ -14,11 +14,11 @@ BATCH_CHARACTERS = 4 << 20
 def frames(
     rows: Iterable[tuple], columns: list[str], limit: int = BATCH_CHARACTERS
 ) -> Iterator[pd.DataFrame]:
-    """Rows as data frames, each closed once its last column's text exceeds ``limit``."""
+    """Rows as data frames, each closed once its text exceeds ``limit``."""
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row[-1] or "")
+        size += sum(len(value) for value in row if isinstance(value, str))
         if size > limit:
             yield pd.DataFrame(held, columns=columns)
             held, size = [], 0

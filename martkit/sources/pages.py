@@ -36,7 +36,7 @@ def fetch_pages(
 ) -> DataFrame:
     """Fetch the body of every page on the executors.
 
-    ``on_error="empty"`` turns a failing page into ``[]``, which
+    ``on_error="empty"`` gives a failing page no body but the ``error``, which
     :func:`bad_pages` then lists; ``"raise"`` fails the task, which Spark
     retries.
     """
@@ -44,18 +44,18 @@ def fetch_pages(
         raise ValueError("on_error is 'raise' or 'empty'")
     shared = pages.sparkSession.sparkContext.broadcast(secret)
 
-    def body(client: Client, page: int) -> str:
+    def body(client: Client, page: int) -> tuple[str | None, str | None]:
         try:
-            return client(page)
-        except Exception:
+            return client(page), None
+        except Exception as error:
             if on_error == "raise":
                 raise
-            return "[]"
+            return None, f"{type(error).__name__}: {error}"[:1000]
 
     def fetch(batches):
         client = connect(shared.value)
         for batch in batches:
-            fetched = ((page, body(client, page)) for page in batch["page"].tolist())
+            fetched = ((page, *body(client, page)) for page in batch["page"].tolist())
             yield from frames(fetched, FETCHED.names)
 
     return pages.select("page").mapInPandas(fetch, FETCHED)
@@ -81,9 +81,10 @@ def bad_pages(fetched: DataFrame) -> DataFrame:
     """
     schema = StructType([*ENVELOPE.fields, StructField(CORRUPT, StringType())])
     parsed = F.from_json("sales_data", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    reasons = fetched.select("page", "sales_data", parsed.alias("envelope")).select(
-        "page", F.explode(F.array(_reason())).alias("reason")
-    )
+    # bodies from elsewhere need not tell of errors
+    error = F.col("error") if "error" in fetched.columns else F.lit(None).cast("string")
+    parsed = fetched.select("page", "sales_data", error.alias("error"), parsed.alias("envelope"))
+    reasons = parsed.select("page", F.explode(F.array(_reason())).alias("reason"))
     return reasons.where(F.col("reason").isNotNull())
 
 
@@ -91,7 +92,8 @@ def _reason() -> Column:
     data = F.col("envelope.data")
     damaged = F.col(f"envelope.{CORRUPT}").isNotNull()
     return (
-        F.when(F.col("sales_data").isNull(), "missing")
+        F.when(F.col("error").isNotNull(), "failed")
+        .when(F.col("sales_data").isNull(), "missing")
         .when(F.col("envelope").isNull() | (damaged & data.isNull()), "unparsable")
         .when(data.isNull(), "no data")
         .when(F.size(data) == 0, "empty")

@@ -2,26 +2,27 @@
 
 import json
 
-TIMES = {
-    "A001": "2024-06-12T19:15:30.123Z",
-    "A002": "2024-06-12T19:45:30.456Z",
-    "B001": "2024-06-12T19:20:35.456Z",
-    "B002": "2024-06-12T19:50:30.789Z",
-}
-SALES = {"A001": 15000, "A002": 8000, "B001": 20000, "B002": 12000}
+# The four sales of a page (kind, store, yen or dollars, amount, time).
+PAGE_SALES = [
+    ("A001", 1, "yen", 15000, "2024-06-12T19:15:30.123Z"),
+    ("A002", 1, "yen", 8000, "2024-06-12T19:45:30.456Z"),
+    ("B001", 2, "us_doller", 20000, "2024-06-12T19:20:35.456Z"),
+    ("B002", 2, "us_doller", 12000, "2024-06-12T19:50:30.789Z"),
+]
+STORES = {1: "Store A", 2: "Store B"}
 
 
 def page_body(page):
     data = [
         {
-            "store_id": 1 if kind[0] == "A" else 2,
-            "store_name": f"Store {kind[0]}",
+            "store_id": store,
+            "store_name": STORES[store],
             "purchase_id": f"{kind}{page}",
-            "sales": SALES[kind],
-            "time": TIMES[kind],
-            "scale": "yen" if kind[0] == "A" else "us_doller",
+            "sales": amount,
+            "time": time,
+            "scale": scale,
         }
-        for kind in SALES
+        for kind, store, scale, amount, time in PAGE_SALES
     ]
     envelope = {"page": page, "per_page": 1000, "total_pages": 10, "total_items": 10000}
     return json.dumps({**envelope, "data": data})

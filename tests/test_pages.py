@@ -6,6 +6,7 @@ from plans import tree
 
 from martkit.functions.times import HourWindow
 from martkit.plans.jobs import ingest_hour
+from martkit.sinks.zones import EmptyOverwrite, PartialOverwrite
 from martkit.sources.pages import (
     bad_pages,
     fetch_pages,
@@ -60,7 +61,10 @@ def test_t14_failing_page(spark):
     pages = page_frame(spark, 4)
     fetched = fetch_pages(pages, failing, on_error="empty")
     assert parse_pages(fetched).count() == 12
-    assert [tuple(row) for row in bad_pages(fetched).collect()] == [(3, "unparsable")]
+    assert [tuple(row) for row in bad_pages(fetched).collect()] == [(3, "failed")]
+    errors = fetched.where("error is not null").collect()
+    assert [(r["page"], r["sales_data"]) for r in errors] == [(3, None)]
+    assert "no answer" in errors[0]["error"]
     with pytest.raises(Exception, match="no answer"):
         fetch_pages(pages, failing).collect()
     with pytest.raises(ValueError):
@@ -116,12 +120,26 @@ def test_t1_stamp_and_path_follow_the_window(spark, tmp_path):
 def test_ingest_hour_can_run_again(spark, tmp_path):
     root = str(tmp_path / "raw")
     for _ in range(2):
-        report = ingest_hour(spark, failing, 10, WINDOW, root, files=2, on_error="empty")
-        assert [tuple(row) for row in report.collect()] == [(3, "unparsable")]
+        report = ingest_hour(
+            spark, failing, 10, WINDOW, root, files=2, on_error="empty", allow_partial=True
+        )
+        assert [tuple(row) for row in report.collect()] == [(3, "failed")]
     assert read_raw_day(spark, root, "2024-06-13").count() == 36
     assert len(list((tmp_path / "raw" / "2024-06-13" / "04").glob("*.parquet"))) == 2
 
 
+def test_an_outage_keeps_the_hour(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    ingest_hour(spark, connect, 10, WINDOW, root)
+    with pytest.raises(PartialOverwrite, match="1 of 10 pages"):
+        ingest_hour(spark, failing, 10, WINDOW, root, on_error="empty")
+    with pytest.raises(EmptyOverwrite):
+        ingest_hour(spark, lambda secret: lambda page: "[]", 10, WINDOW, root)
+    assert read_raw_day(spark, root, "2024-06-13").count() == 40
+    ingest_hour(spark, lambda secret: lambda page: "[]", 10, WINDOW, root, allow_empty=True)
+    assert read_raw_day(spark, root, "2024-06-13").count() == 0
+
+
 def test_raw_columns(spark):
     stamped = stamp(parse_pages(fetch_pages(page_frame(spark, 1), connect)), WINDOW)
     assert stamped.dtypes[0] == ("page", "bigint")

@@ -70,5 +70,7 @@ def test_t2_zone_must_be_utc(spark, set_conf):
 
 
 def test_sizing_is_bounded():
-    counts = [int(sizing(size)["spark.sql.shuffle.partitions"]) for size in (0, 1 << 40, 1 << 50)]
-    assert counts == [200, 4096, 100_000]
+    counts = [int(sizing(size)["spark.sql.shuffle.partitions"]) for size in (0, 1 << 40, 100 << 40)]
+    assert counts == [200, 4096, 409_600]
+    with pytest.raises(ValueError, match="split the job"):
+        sizing(1 << 50)

@@ -113,7 +113,7 @@ def test_v7_v9_as_of(people):
         ("A", 35, C4, "extra"), ("B", 45, C1, None), ("C", 29, C1, None), ("D", 42, C3, None),
     ]
     with pytest.raises(NoSuchTable):
-        people.as_of("20240101000000000")
+        people.as_of("20230101000000000")
 
 
 def test_v8_metadata_columns(people):
@@ -235,7 +235,7 @@ def test_reads_of_a_compacted_table_move_little(spark, tmp_path):
     assert short(table.snapshot()) == [("A", 35, C2), ("C", 29, C1), ("D", 42, C2)]
     # the stored state passes a broadcast of the changed keys; only changes are ranked
     shown = plan(table.snapshot(), "simple")
-    assert "BroadcastHashJoin" in shown and shown.count("Window") <= 3
+    assert "BroadcastHashJoin" in shown and "SortMergeJoin" not in shown
     assert short(table.as_of(C2)) == [("A", 35, C2), ("B", 45, C1), ("C", 29, C1), ("D", 42, C2)]
 
 

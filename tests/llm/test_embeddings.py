@@ -1,0 +1,118 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+import martkit.llm.embeddings as embeddings
+from martkit.llm.embeddings import fit_codes, link_embeddings, unit_vector
+
+SCHEMA = "vec_id bigint, embedding array<float>, node string, weight int"
+
+
+def plain(rows, cosine=0.9):
+    """(vec_id, n_links, component, kept) by comparing all pairs."""
+    vectors = []
+    for _, values in rows:
+        good = values and all(v is not None and math.isfinite(v) for v in values) and any(values)
+        v = np.array(values, dtype=np.float32).astype(float) if good else None
+        vectors.append(None if v is None else v / np.linalg.norm(v))
+    above = list(range(len(rows)))
+
+    def root(x):
+        while above[x] != x:
+            x = above[x]
+        return x
+
+    degree = [0] * len(rows)
+    for i, x in enumerate(vectors):
+        for j in range(i):
+            y = vectors[j]
+            if x is not None and y is not None and len(x) == len(y) and x @ y >= cosine:
+                degree[i] += 1
+                degree[j] += 1
+                above[root(i)] = root(j)
+    least = {}
+    for i, (v, _) in enumerate(rows):
+        if v is not None:
+            least[root(i)] = min(v, least.get(root(i), v))
+    out = []
+    for i, (v, _) in enumerate(rows):
+        name = least.get(root(i), v)
+        out.append((v, degree[i], name, v == name))
+    return sorted(out, key=str)
+
+
+def found(spark, rows):
+    frame = spark.createDataFrame([(v, x, None, None) for v, x in rows], SCHEMA)
+    return sorted([tuple(r) for r in link_embeddings(frame.repartition(3)).collect()], key=str)
+
+
+def near(rng, vector, cosine):
+    """A unit vector at this cosine to a unit vector."""
+    other = rng.standard_normal(len(vector))
+    other -= (other @ vector) * vector
+    other /= np.linalg.norm(other)
+    return cosine * vector + math.sqrt(1 - cosine**2) * other
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_copies_and_groups(spark, monkeypatch, block):
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    rng = np.random.default_rng(1)
+    centre = [x / np.linalg.norm(x) for x in rng.standard_normal((20, 32))]
+    rows = [(i, rng.standard_normal(32).tolist()) for i in range(150)]
+    rows += [(1000 + i, near(rng, centre[i % 20], 0.99).tolist()) for i in range(200)]
+    rows += [(2000 + i, rows[3][1]) for i in range(60)]
+    random.Random(1).shuffle(rows)
+    assert found(spark, rows) == plain(rows)
+
+
+def test_recall_at_the_threshold(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        vector = rng.standard_normal(48)
+        vector /= np.linalg.norm(vector)
+        rows += [(2 * i, vector.tolist()), (2 * i + 1, near(rng, vector, 0.905).tolist())]
+    links = sum(r[1] for r in found(spark, rows))
+    assert links >= 0.9 * sum(r[1] for r in plain(rows))
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    v = [0.5, -0.25, 1.0]
+    rows = [
+        (1, v), (2, v), (2, v), (None, v), (3, None), (4, []), (5, [0.0, 0.0, 0.0]),
+        (6, [nan, 1.0, 0.0]), (7, [inf, 1.0, 0.0]), (8, [None, 1.0, 0.0]), (9, [2.0, -1.0, 4.0]),
+        (10, [1.0]), (11, [3.0]), (12, [1.0, 0.0]), (13, [1e-30, 0.0, 0.0]), (14, [1e30, 0.0, 0.0]),
+        (15, [-0.5, 0.25, -1.0]),
+    ]
+    assert found(spark, rows) == plain(rows)
+
+
+def test_empty_table(spark):
+    assert found_empty(spark) == []
+
+
+def found_empty(spark):
+    return link_embeddings(spark.createDataFrame([], SCHEMA)).collect()
+
+
+def test_codes_are_balanced_and_keep_angles():
+    rng = np.random.default_rng(3)
+    rows = rng.standard_normal((2000, 32)) * np.linspace(0.2, 2, 32)
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    codes = fit_codes(rows, 2000, 0.9)
+    bits = rows @ codes.rotations > 0
+    assert abs(bits.mean() - 0.5) < 0.05 and bits.mean(axis=0).min() > 0.3
+    apart = [(bits[i] != bits[j]).mean() for i, j in zip(range(500), range(500, 1000))]
+    angle = [math.acos(rows[i] @ rows[j]) for i, j in zip(range(500), range(500, 1000))]
+    assert np.corrcoef(apart, angle)[0, 1] > 0.8
+    size = codes.rotations.shape[1]
+    assert size % codes.width == 0 and codes.encode(rows).shape == (2000, size // codes.width)
+
+
+def test_unit_vector_of_extremes():
+    assert unit_vector([1e300, 1e300]).tolist() == pytest.approx([0.5**0.5] * 2)
+    assert unit_vector([5e-324, 0.0]).tolist() == [1.0, 0.0]

@@ -32,7 +32,9 @@ END_ID = 0
 # Spread of the pieces of one length over tasks, for lengths that many share.
 SPREAD = 1024
 # Words, and parts of words, whose ids a worker remembers: twice as many at most.
-REMEMBERED = 300_000
+REMEMBERED = 350_000
+# Characters of text that are looked up together.
+LOT = 1 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # Characters that Python splits at but that are no white space to the tokenizer.
@@ -124,6 +126,18 @@ class WordIds:
         ]
 
 
+def encode_lots(encode: WordIds, texts: pa.Array) -> Iterator[bytes]:
+    """The ids of all texts, made in lots so that little is held at once."""
+    lot, size = [], 0
+    for text in texts:
+        lot.append(text.as_py() or "")
+        size += len(lot[-1])
+        if size > LOT:
+            yield from encode(lot)
+            lot, size = [], 0
+    yield from encode(lot)
+
+
 def token_pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -148,8 +162,7 @@ def token_pieces(
         encode = once(f"word-ids {tokenizer}", lambda: WordIds(tokenizer))
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            bodies = encode([body or "" for body in batch.column(1).to_pylist()])
-            for doc, ids in zip(batch.column(0).to_pylist(), bodies):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode_lots(encode, batch.column(1))):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]

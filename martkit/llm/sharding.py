@@ -60,6 +60,7 @@ def feistel(number: Column, rows: int, seed: int, rounds: int = ROUNDS) -> Colum
     first = once(number)
     if a * b == rows:
         return first
+    # made to depend on the row, or the plan would hold an array of that many literals
     outside = F.pmod(number, F.lit(1)) + (a * b - rows)
     walk = F.aggregate(
         F.sequence(F.lit(1).cast("bigint"), outside),

@@ -2,8 +2,8 @@
 
 Texts with equal sets are one node. The join runs through regions of the metric space:
 
-1. Regions of single shingles. In one order of all shingles (frequent ones last, by hash
-   otherwise) a set is filed under its first n - ceil(t n) + 1 shingles; two sets with
+1. Regions of single shingles. In one order of all shingles (frequent ones last and by
+   frequency, others by hash) a set is filed under its first n - ceil(t n) + 1 shingles; two sets with
    similarity t or more meet in one of these regions at least. The empty set is a pivot
    too: distances to it bound the ratio of sizes of two linked sets.
 2. A region of few nodes is joined directly. The number of regions that two sets share
@@ -42,7 +42,8 @@ from martkit.session import materialize
 # Words whose hashes a worker remembers.
 REMEMBERED = 400_000
 # A shingle is frequent from so many documents on, or from one MOST_FREQUENT-th of all
-# filed shingles, so that the list of frequent ones has a fixed bound.
+# shingles, so that the list of frequent ones has a fixed bound. Tasks report what they
+# see twice or more; the order decides on speed alone, so that is near enough.
 FREQUENT = 32
 MOST_FREQUENT = 2_000_000
 # A region of at most so many nodes is joined directly.
@@ -127,7 +128,7 @@ class JaccardJoin:
 
     def _members(self) -> DataFrame:
         """(key, tie, node, n) of each document; the list of frequent shingles on the way."""
-        percent, width = self.percent, self.width
+        width = self.width
 
         def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets, known, held, size = shingle_sets(width), set(), [], 0
@@ -152,7 +153,7 @@ class JaccardJoin:
                     ns.append(len(shingles))
                     if ns[-1] and nodes[-1] not in known:
                         known.add(nodes[-1])
-                        held.append(shingles[: prefix_length(ns[-1], percent)])
+                        held.append(shingles)
                         size += len(held[-1])
                 yield rows(False, batch.column(0), batch.column(1), nodes, ns)
                 if size > GATHERED:
@@ -164,23 +165,24 @@ class JaccardJoin:
         schema = "counted boolean, key bigint, tie bigint, node bigint, n bigint"
         every = materialize(self.docs.mapInArrow(profile, schema), "jaccard-profiles")
         members = every.where("not counted").drop("counted")
-        k = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-        filed = members.agg(F.sum(k)).first()[0] or 0
-        least = max(FREQUENT, int(filed) // MOST_FREQUENT)
+        total = members.agg(F.sum("n")).first()[0] or 0
+        least = max(FREQUENT, total // MOST_FREQUENT)
         counts = every.where("counted").groupBy("node").agg(F.sum("n").alias("n"))
-        found = counts.where(F.col("n") >= least).select("node").toPandas()["node"]
-        # at most MOST_FREQUENT numbers
-        self.frequent = self.spark.sparkContext.broadcast(
-            np.sort(found.to_numpy(dtype=np.int64).view(np.uint64))
-        )
+        # at most MOST_FREQUENT rows
+        found = counts.where(F.col("n") >= least).toPandas()
+        often = found["node"].to_numpy(dtype=np.int64).view(np.uint64)
+        order = np.argsort(often)
+        times = found["n"].to_numpy(dtype=np.int64)
+        self.frequent = self.spark.sparkContext.broadcast((often[order], times[order]))
         return members
 
     def _regions(self) -> DataFrame:
-        """Pairs of small regions (large false) and rows (region, node, n) of large ones."""
+        """Pairs of small regions, and rows of large ones (region, node, n, place as a, b, n_a, n_b)."""
         percent, width, frequent = self.percent, self.width, self.frequent
 
         def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sets, known, often = shingle_sets(width), set(), frequent.value
+            sets, known = shingle_sets(width), set()
+            often, times = frequent.value
             for batch in batches:
                 out = []
                 for body in batch.column(0).cast(pa.binary()).to_pylist():
@@ -197,7 +199,10 @@ class JaccardJoin:
                     else:
                         hot = np.zeros(n, dtype=bool)
                     rare = shingles[~hot][:k]
-                    usual = shingles[hot][: k - len(rare)]
+                    usual = shingles[hot]
+                    if len(usual):
+                        usual = usual[np.argsort(times[at[hot]], kind="stable")]
+                    usual = usual[: k - len(rare)]
                     flags = np.arange(len(rare) + len(usual)) >= len(rare)
                     out.append((np.concatenate([rare, usual]), flags, node, n))
                 if out:
@@ -207,9 +212,10 @@ class JaccardJoin:
                             pa.array(signed(np.concatenate([o[0] for o in out]))),
                             pa.array(np.repeat([o[2] for o in out], lengths)),
                             pa.array(np.repeat([o[3] for o in out], lengths).astype(np.int32)),
+                            pa.array(np.concatenate([np.arange(x, dtype=np.int32) for x in lengths])),
                             pa.array(np.concatenate([o[1] for o in out])),
                         ],
-                        names=["region", "node", "n", "hot"],
+                        names=["region", "node", "n", "place", "hot"],
                     )
 
         names = ["large", "a", "b", "n_a", "n_b"]
@@ -230,12 +236,12 @@ class JaccardJoin:
             rest: list[np.ndarray] | None = None
             running = None  # the region known to be large that rows may go on with
 
-            def pairs(region, node, n, last: bool):
+            def pairs(region, node, n, place, last: bool):
                 """Join all regions but, unless ``last``, the last; return what is left."""
                 nonlocal running
                 fresh = np.ones(len(region), dtype=bool)
                 fresh[1:] = (region[1:] != region[:-1]) | (node[1:] != node[:-1])
-                region, node, n = region[fresh], node[fresh], n[fresh]
+                region, node, n, place = region[fresh], node[fresh], n[fresh], place[fresh]
                 starts = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
                 sizes = np.diff(np.append(starts, len(region)))
                 big = sizes > DIRECT
@@ -246,14 +252,14 @@ class JaccardJoin:
                     if big[-1]:
                         running = region[-1]
                     else:
-                        left = [x[starts[-1] :] for x in (region, node, n)]
+                        left = [x[starts[-1] :] for x in (region, node, n, place)]
                         starts, sizes, big = starts[:-1], sizes[:-1], big[:-1]
                 out = []
                 if big.any():
                     rows = np.concatenate(
                         [np.arange(s, s + z) for s, z in zip(starts[big], sizes[big])]
                     )
-                    out.append(batch_of(True, region[rows], node[rows], n[rows], n[rows]))
+                    out.append(batch_of(True, region[rows], node[rows], n[rows], place[rows]))
                 for size in np.unique(sizes[~big]):
                     if size < 2:
                         continue
@@ -268,28 +274,27 @@ class JaccardJoin:
 
             for batch in batches:
                 region, node = (batch.column(i).to_numpy() for i in (0, 1))
-                n, hot = batch.column(2).to_numpy(), batch.column(3).to_numpy(zero_copy_only=False)
+                n, place = (batch.column(i).to_numpy() for i in (2, 3))
+                hot = batch.column(4).to_numpy(zero_copy_only=False)
+                columns = (region, node, n, place)
                 if hot.any():
-                    yield batch_of(True, region[hot], node[hot], n[hot], n[hot])
-                    region, node, n = region[~hot], node[~hot], n[~hot]
+                    yield batch_of(True, *(c[hot] for c in columns))
+                    columns = tuple(c[~hot] for c in columns)
                 if rest is not None:
-                    region, node, n = (
-                        np.concatenate([r, x]) for r, x in zip(rest, (region, node, n))
-                    )
-                if len(region):
-                    out, rest = pairs(region, node, n, last=False)
+                    columns = tuple(np.concatenate(both) for both in zip(rest, columns))
+                if len(columns[0]):
+                    out, rest = pairs(*columns, last=False)
                     yield from out
             if rest is not None:
                 out, _ = pairs(*rest, last=True)
                 yield from out
 
         rows = self.docs.select("text").mapInArrow(
-            file, "region bigint, node bigint, n int, hot boolean"
+            file, "region bigint, node bigint, n int, place int, hot boolean"
         )
         # rows of frequent shingles only pass through here, so they may go anywhere
         salt = F.when(F.col("hot"), F.pmod("node", F.lit(SALTS))).otherwise(0)
-        rows = rows.withColumn("salt", salt).repartition("region", "salt")
-        rows = rows.sortWithinPartitions("hot", "region", "node").drop("salt")
+        rows = rows.repartition("region", salt).sortWithinPartitions("hot", "region", "node")
         schema = "large boolean, a bigint, b bigint, n_a int, n_b int"
         return materialize(rows.mapInArrow(join_regions, schema), "jaccard-regions")
 
@@ -335,14 +340,24 @@ class JaccardJoin:
         texts = lookup_join(self.docs, wanted, ["key", "tie"], "inner").select("node", "text")
 
         def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sets = shingle_sets(width)
+            # a task sends the set of repeated rows once; what is left of copies does no harm
+            sets, known = shingle_sets(width), set()
             for batch in batches:
-                bodies = batch.column(1).cast(pa.binary()).to_pylist()
-                packed = pa.array([sets(b).tobytes() for b in bodies], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["node", "packed"])
+                nodes = batch.column(0).to_pylist()
+                fresh = []
+                for i, node in enumerate(nodes):
+                    if node not in known:
+                        known.add(node)
+                        fresh.append(i)
+                bodies = batch.column(1).take(pa.array(fresh, pa.int64())).cast(pa.binary())
+                packed = pa.array([sets(b).tobytes() for b in bodies.to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([nodes[i] for i in fresh], pa.int64()), packed],
+                    names=["node", "packed"],
+                )
 
         sets = texts.mapInArrow(collect, "node bigint, packed binary")
-        sets = materialize(sets, "jaccard-sets").dropDuplicates(["node"])
+        sets = materialize(sets, "jaccard-sets")
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("set_a")), "a")
         both = both.join(sets.select(F.col("node").alias("b"), F.col("packed").alias("set_b")), "b")
 
@@ -364,84 +379,99 @@ class JaccardJoin:
         tested = both.mapInArrow(compare, "a bigint, b bigint, common bigint, either bigint")
         return materialize(tested, "jaccard-tested")
 
-    def _linked(self, tested: DataFrame) -> DataFrame:
-        return tested.where(F.col("common") * 100 >= F.col("either") * self.percent).select("a", "b")
+    def _linked(self, tested: list[DataFrame]) -> DataFrame:
+        every = reduce(DataFrame.unionByName, tested)
+        return every.where(F.col("common") * 100 >= F.col("either") * self.percent).select("a", "b")
 
-    def links(self) -> tuple[DataFrame, DataFrame | None]:
-        """(links between nodes, components); links inside a cell all lead to its pivot."""
+    def links(self) -> DataFrame:
+        """(node, component) of the nodes that are linked with any other.
+
+        First each node is compared with the first pivot of its large regions and with one
+        partner of its small ones, which connects most copies; after that only nodes that
+        are not connected.
+        """
         regions = self._regions()
         large = regions.where("large").select(
-            F.col("a").alias("region"), F.col("b").alias("node"), F.col("n_a").alias("n")
+            F.col("a").alias("region"),
+            F.col("b").alias("node"),
+            F.col("n_a").alias("n"),
+            F.col("n_b").alias("place"),
         )
-        large = materialize(large.distinct(), "jaccard-large")
         # pivots are taken in the order of a hash
-        large = large.withColumn("rank", F.xxhash64("node", F.lit(3)))
-        direct = self._direct_pairs(regions, large)
-        pivots, done, firsts, tested = 1, None, None, []
-        named = None
+        large = large.distinct().withColumn("rank", F.xxhash64("node", F.lit(3)))
+        large = materialize(large, "jaccard-large")
+        direct = materialize(self._direct_pairs(regions, large), "jaccard-direct")
+
+        start = {"cell": F.col("node"), "d": F.lit(None).cast("double")}
+        chosen, pairs = self._pivot_pairs(large.withColumns(start), 1)
+        firsts = chosen.select("region", F.col("pivot").alias("first"))
+        one = direct.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        tested = [self._verify(pairs.unionByName(one).distinct())]
+        named = components(self._linked(tested))
+
+        rest = direct
+        for side in ("a", "b"):
+            cells = named.select(F.col("node").alias(side), F.col("component").alias(f"cell_{side}"))
+            rest = rest.join(cells, side, "left")
+        apart = F.coalesce("cell_a", "a") != F.coalesce("cell_b", "b")
+        rest = rest.where(apart).select("a", "b")
+
+        pivots = 1
         while True:
-            rows, compared = self._pivot_pairs(large, named, pivots, done, firsts, tested)
-            if rows is None:
-                break
-            if firsts is None:
-                firsts = rows["pivots"].select("region", F.col("pivot").alias("first"))
-            done = rows["done"]
-            pairs = compared
-            if direct is not None:
-                pairs, direct = pairs.unionByName(direct).distinct(), None
-            found = self._verify(pairs)
-            tested.append(found)
-            links = reduce(DataFrame.unionByName, [self._linked(t) for t in tested])
-            named = components(links)
             pivots *= MORE_PIVOTS
-        return links, named
-
-    def _pivot_pairs(self, large, named, pivots, done, firsts, tested):
-        """Pairs of nodes and the next pivots of their regions that are not connected yet."""
-        rows = large
-        if named is None:
-            rows = rows.withColumn("cell", F.col("node"))
-        else:
-            rows = rows.join(named, "node", "left")
-            rows = rows.withColumn("cell", F.coalesce("component", "node")).drop("component")
-            open_ones = rows.groupBy("region").agg(F.min("cell").alias("x"), F.max("cell").alias("y"))
-            open_ones = open_ones.where("x < y").select("region")
-            rows = rows.join(open_ones, "region", "left_semi")
-        if done is not None:
-            rows = rows.join(done, "region").where("rank > done").drop("done")
-        distance = 1 - F.col("common") / F.col("either")
-        if firsts is not None:
-            known = reduce(DataFrame.unionByName, tested)
-            known = known.select("a", "b", distance.alias("d"))
-            known = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-            known = known.select(F.col("a").alias("node"), F.col("b").alias("first"), "d").distinct()
-            rows = rows.join(firsts, "region").join(known, ["node", "first"], "left").drop("first")
-        else:
-            rows = rows.withColumn("d", F.lit(None).cast("double"))
-        rows = materialize(rows, "jaccard-open")
-        if done is not None and rows.isEmpty():
-            return None, None
+            large = self._open_rows(large, named, chosen, firsts, tested)
+            if large.isEmpty():
+                if rest is None:
+                    return named
+                pairs = rest
+            else:
+                chosen, pairs = self._pivot_pairs(large, pivots)
+                pairs = pairs if rest is None else pairs.unionByName(rest).distinct()
+            rest = None
+            tested.append(self._verify(pairs))
+            named = components(self._linked(tested))
+
+    def _open_rows(self, large, named, chosen, firsts, tested) -> DataFrame:
+        """Rows behind the last pivots of regions that are not connected as a whole.
+
+        ``cell`` is the component of a node and ``d`` its distance to the first pivot.
+        """
+        rows = large.drop("cell", "d").join(named, "node", "left")
+        rows = rows.withColumn("cell", F.coalesce("component", "node")).drop("component")
+        cells = rows.groupBy("region").agg(F.min("cell").alias("x"), F.max("cell").alias("y"))
+        rows = rows.join(cells.where("x < y").select("region"), "region", "left_semi")
+        done = chosen.groupBy("region").agg(F.max("pivot_rank").alias("done"))
+        rows = rows.join(done, "region").where("rank > done").drop("done")
+        known = reduce(DataFrame.unionByName, tested)
+        known = known.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
+        turned = known.select(F.col("b").alias("node"), F.col("a").alias("first"), "d")
+        known = known.select(F.col("a").alias("node"), F.col("b").alias("first"), "d")
+        known = known.unionByName(turned).distinct()
+        rows = rows.join(firsts, "region").join(known, ["node", "first"], "left").drop("first")
+        return materialize(rows, "jaccard-open")
+
+    def _pivot_pairs(self, rows: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
+        """The next pivots of each region, and the pairs of nodes to compare with them."""
         order = Window.partitionBy("region").orderBy("rank", "node")
         chosen = rows.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= pivots)
         chosen = chosen.select(
             "region",
             F.col("node").alias("pivot"),
-            F.col("n").alias("pivot_n"),
-            F.col("rank").alias("pivot_rank"),
-            F.col("cell").alias("pivot_cell"),
-            F.col("d").alias("pivot_d"),
+            *[F.col(c).alias(f"pivot_{c}") for c in ("n", "place", "rank", "cell", "d")],
         )
         chosen = materialize(chosen, "jaccard-pivots")
         size = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * self.percent
+        # in the first region that two sets share, nothing before it is common
+        most = F.least(F.col("n") - F.col("place"), F.col("pivot_n") - F.col("pivot_place"))
+        reach = most * (100 + self.percent) >= (F.col("n") + F.col("pivot_n")) * self.percent
         radius = 1 - self.percent / 100 + 1e-9
         window = F.coalesce(F.abs(F.col("d") - F.col("pivot_d")) <= radius, F.lit(True))
         later = (F.col("rank") > F.col("pivot_rank")) & (F.col("cell") != F.col("pivot_cell"))
-        pairs = rows.join(chosen, "region").where(size & window & later)
+        pairs = rows.join(chosen, "region").where(size & reach & window & later)
         pairs = pairs.select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-        ).distinct()
-        last = chosen.groupBy("region").agg(F.max("pivot_rank").alias("done"))
-        return {"pivots": chosen, "done": last}, pairs
+        )
+        return chosen, pairs.distinct()
 
 
 def jaccard_components(
@@ -457,7 +487,7 @@ def jaccard_components(
     by the least id among its documents.
     """
     join = JaccardJoin(docs, percent, width, key, text)
-    _, named = join.links()
+    named = join.links()
     # the least id of each component, by way of the least id of each node
     least = join.nodes.join(named, "node", "left")
     least = least.withColumn("component", F.coalesce("component", "node"))

@@ -178,7 +178,7 @@ def fit_languages(
         group = group.sort_values("doc_id", kind="stable")
         tf = [c for c, n in map(counts, group["text"]) if n]
         if not tf:
-            return pd.DataFrame({"lang": [], "centroid": []})
+            return pd.DataFrame({"lang": [], "centroid": []}, dtype=object)
         found = spherical_kmeans(vectors(np.array(tf), idf), centroids)
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": list(found)})
 

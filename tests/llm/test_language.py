@@ -1,6 +1,7 @@
 import random
 
 from llm_cases import SCHEMA, awkward, awkward_rows, empty
+from pyspark.sql import functions as F
 
 from martkit.llm.language import UNKNOWN, fit_languages, held_out, identify, keep_identified
 
@@ -47,7 +48,7 @@ def test_held_out_and_unlabelled_rows_teach_nothing(spark):
     rows = [r for r in made(2, 200)]
     docs = spark.createDataFrame(rows, SCHEMA)
     lying = docs.withColumn(
-        "lang", __import__("pyspark").sql.functions.when(~held_out(docs["doc_id"]), docs["lang"]).otherwise("zz")
+        "lang", F.when(~held_out(docs["doc_id"]), docs["lang"]).otherwise("zz")
     )
     assert "zz" not in fit_languages(lying, sample=50).languages
 

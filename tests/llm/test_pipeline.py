@@ -1,5 +1,6 @@
 import pytest
 from llm_cases import awkward, empty
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from martkit.llm.queries import QUERIES, op4_chat_format, op10_shard_feistel
@@ -33,7 +34,7 @@ def test_stages_on_the_small_table(spark, tmp_path):
 @pytest.mark.parametrize("make", [awkward, empty])
 def test_awkward_rows(spark, tmp_path, make):
     docs = make(spark)
-    docs = docs.select(*docs.columns[:5], docs["n"].alias("__extra"))
+    docs = docs.select(*docs.columns[:5], F.lit(None).cast("string").alias("__extra"))
     out = apply(spark, docs, tmp_path)
     assert all(frame.columns == docs.columns for frame in out[:4])
 

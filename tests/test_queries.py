@@ -2,6 +2,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as driver
+from martkit.catalogue import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -11,14 +12,16 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_its_sql(spark, con, name):
     rows = compare(driver.queries()[name](spark, SF_DIR), con, driver.oracle_sql()[name])
     assert rows > 0
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
 
 
 def test_entry(spark):

@@ -43,8 +43,12 @@ def worker_store() -> dict[str, Any]:
 
 
 def once(key: str, make: Callable[[], Any]) -> Any:
-    """``make()``, called once in each Python worker."""
+    """``make()``, called once in each Python worker and kept until another key is asked for.
+
+    Workers outlive queries, so keeping what each of them remembers would add up.
+    """
     store = worker_store()
     if key not in store:
+        store.clear()
         store[key] = make()
     return store[key]

@@ -4,8 +4,8 @@ Plain identifiers are found by fixed patterns. Then a chain of transducers rewri
 the text: look-alike letters and invisible characters, digits spelled as words, and
 "at" and "dot" disguises. Each keeps, for every character it puts out, the stretch of
 the source that it stands for. The patterns run over the rewritten text as well, and
-what they find is mapped back to the source; a find that touches a plain one is the
-plain one again and is dropped.
+what they find is mapped back to the source; a find inside a plain one of its kind is
+the plain one again and is dropped. One that reaches further is kept beside it.
 
 Null and empty texts have no finds. Texts are read whole, in time proportional to
 their length. Repeated rows are answered one by one; other columns are not looked at.
@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -222,20 +224,19 @@ TRANSDUCERS = (look_alikes, spelled_digits, bracketed_signs, spaced_signs)
 def disguised_spans(
     text: str, plain: list[tuple[str, int, int]]
 ) -> list[tuple[str, int, int]]:
-    """Finds of the rewritten text that touch no plain one."""
+    """Finds of the rewritten text that lie in no plain one of their kind."""
     rewritten = Rewritten(text)
     for transducer in TRANSDUCERS:
         rewritten.replace(transducer(rewritten.text))
     if rewritten.text == text:
         return []
-    taken = sorted((start, end) for _, start, end in plain)
-    begins = [start for start, _ in taken]
+    # plain finds of one kind are in order and do not overlap
+    taken = {kind: [(a, b) for k, a, b in plain if k == kind] for kind in KINDS}
     found = []
     for kind, start, end in plain_spans(rewritten.text):
         start, end = rewritten.source(start, end)
-        near = np.searchsorted(begins, end) if begins else 0
-        # plain finds of different kinds may overlap, so look a few back
-        if not any(a < end and start < b for a, b in taken[max(0, near - 8) : near]):
+        before = bisect_right(taken[kind], start, key=itemgetter(0))
+        if not before or taken[kind][before - 1][1] < end:
             found.append((kind, start, end))
     return found
 

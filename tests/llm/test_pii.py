@@ -67,6 +67,23 @@ def test_disguises_are_found_in_place(text, kind, source):
     assert [(k, text[a:b]) for k, a, b in every] == [(kind, source or text)]
 
 
+@pytest.mark.parametrize(
+    "text,source,base",
+    [
+        ("to john dot doe@example.com now", "john dot doe@example.com", "doe@example.com"),
+        ("an аlice@example.com x", "аlice@example.com", "lice@example.com"),
+        ("x john@mail.example dot com", "john@mail.example dot com", "john@mail.example"),
+        ("ip 1.2.3.4５ x", "1.2.3.4５", "1.2.3.4"),
+    ],
+)
+def test_disguises_around_a_plain_find(text, source, base):
+    plain, every = find_spans(text)
+    assert [text[a:b] for _, a, b in plain] == [base]
+    assert plain == slow(text) and set(plain) <= set(every)
+    assert source in [text[a:b] for _, a, b in every] and len(every) == 2
+    assert redact(text, every) == text.replace(source, f"[{plain[0][0].upper()}]")
+
+
 def test_clean_texts_stay_clean():
     for text in (
         "We met at the mill at noon. One of two, or three; dot the i.",

@@ -72,24 +72,28 @@ DIGIT_WORDS = {
     "nine": "9", "neun": "9", "nueve": "9", "neuf": "9",
 }
 _DIGIT = r"(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + r")"
-_POINT = r"\s+(?:dot|point|punkt|punto)\s+"
+# Words for the sign and the point of an address.
+SIGN_WORDS = ("at", "arroba")
+POINT_WORDS = ("dot", "point", "punkt", "punto")
+_SIGN, _DOT = "(?:" + "|".join(SIGN_WORDS) + ")", "(?:" + "|".join(POINT_WORDS) + ")"
+_POINT = rf"\s+{_DOT}\s+"
 # Four named digits in a row, at least; single ones are ordinary words.
 SPELLED = re.compile(
     rf"(?i)\b(?=[a-zéü])(?:plus\s+)?{_DIGIT}(?:(?:{_POINT}|[\s,-]{{1,3}}){_DIGIT}){{3,}}\b"
 )
-TOKEN = re.compile(rf"(?i)plus|dot|point|punkt|punto|{_DIGIT}")
-DOTTED = re.compile(rf"(?i)[0-9]+(?:{_POINT}[0-9]+){{3}}")
+TOKEN = re.compile(rf"(?i)plus|{_DOT}|{_DIGIT}")
+DOTTED = re.compile(rf"(?i)(?<![0-9])[0-9]+(?:{_POINT}[0-9]+){{3}}")
 
-BRACKETED = re.compile(
-    r"(?i)[\(\[\{<]\s{0,3}(at|arroba|dot|punkt|punto|point)\s{0,3}[\)\]\}>]"
-)
-SPACED = re.compile(
-    r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]+(?:\s+dot\s+[a-z0-9_%+-]+)*"
-    r"\s+(?:at|arroba)\s+[a-z0-9.-]+(?:\s+dot\s+[a-z0-9-]+)+"
-)
-AFTER_SIGN = re.compile(r"(?i)@[a-z0-9.-]+(?:\s+dot\s+[a-z0-9-]+)+")
-BEFORE_SIGN = re.compile(r"(?i)[a-z0-9_%+-]+(?:\s+dot\s+[a-z0-9_%+-]+)+@")
-WORD = re.compile(r"(?i)\s+(at|arroba|dot)\s+")
+BRACKETED = re.compile(rf"(?i)[\(\[\{{<]\s{{0,3}}({_SIGN}|{_DOT})\s{{0,3}}[\)\]\}}>]")
+# Words joined by points are taken as a whole, whether the rest of an address follows
+# (then there is a group) or not, so that long chains are not read again from each word.
+_PART = r"[a-z0-9._%+-]++"
+_REST = rf"\s+{_SIGN}\s+[a-z0-9.-]+(?:{_POINT}[a-z0-9-]+)+"
+_CHAIN = rf"(?i)(?<![a-z0-9._%+-]){_PART}(?:\s++{_DOT}\s++{_PART})"
+SPACED = re.compile(rf"{_CHAIN}++({_REST})?|(?<![a-z0-9._%+-]){_PART}({_REST})")
+AFTER_SIGN = re.compile(rf"(?i)(@)[a-z0-9.-]+(?:{_POINT}[a-z0-9-]+)+")
+BEFORE_SIGN = re.compile(rf"{_CHAIN}++(@)?")
+WORD = re.compile(rf"(?i)\s+({_SIGN}|{_DOT})\s+")
 
 
 def passes_luhn(digits: str) -> bool:
@@ -199,7 +203,7 @@ def bracketed_signs(text: str) -> list[tuple[int, int, str]]:
             start -= 1
         while end < len(text) and end < m.end() + 3 and text[end].isspace():
             end += 1
-        edits.append((start, end, "@" if m[1].lower() in ("at", "arroba") else "."))
+        edits.append((start, end, "@" if m[1].lower() in SIGN_WORDS else "."))
         last = end
     return edits
 
@@ -207,13 +211,15 @@ def bracketed_signs(text: str) -> list[tuple[int, int, str]]:
 def spaced_signs(text: str) -> list[tuple[int, int, str]]:
     """Bare words are signs only inside the shape of an address."""
     lower = text.lower()
-    if " dot " not in lower and "\tdot" not in lower and "\ndot" not in lower:
+    if not any(word in lower for word in POINT_WORDS):
         return []
     edits: dict[int, tuple[int, int, str]] = {}
     for shape in (SPACED, AFTER_SIGN, BEFORE_SIGN, DOTTED):
         for found in shape.finditer(text):
+            if shape.groups and found.lastindex is None:
+                continue
             for m in WORD.finditer(text, found.start(), found.end()):
-                new = "." if m[1].lower() == "dot" else "@"
+                new = "." if m[1].lower() in POINT_WORDS else "@"
                 edits.setdefault(m.start(), (m.start(), m.end(), new))
     return [edits[at] for at in sorted(edits)]
 

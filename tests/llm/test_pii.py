@@ -84,6 +84,34 @@ def test_disguises_around_a_plain_find(text, source, base):
     assert redact(text, every) == text.replace(source, f"[{plain[0][0].upper()}]")
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        "john at example dot\ncom",
+        "john at example\u00a0dot\tcom",
+        "juan arroba ejemplo punto com",
+        "hans at beispiel punkt de",
+        "jean point petit@exemple.fr",
+        "ana@ejemplo punto es",
+        "a dot b.c at x dot org",
+    ],
+)
+def test_point_words_and_wrapped_lines(source):
+    text = f"x, {source}, y"
+    every = find_spans(text)[1]
+    assert source in [text[a:b] for _, a, b in every]
+
+
+def test_chains_of_points_take_linear_time():
+    for text in ("a dot " * 50_000, "a" * 300_000 + " dot b", "1" * 300_000 + " punto 2", "a" + " " * 300_000 + "dot"):
+        assert find_spans(text) == ([], [])
+
+
+def test_point_words_of_prose_stay():
+    for text in ("un punto de vista", "at this point in time", "der Punkt ist klar", "à ce point il part"):
+        assert find_spans(text) == ([], [])
+
+
 def test_clean_texts_stay_clean():
     for text in (
         "We met at the mill at noon. One of two, or three; dot the i.",

@@ -5,7 +5,7 @@ to three characters are hashed to DIMENSIONS counts. Counts are damped and weigh
 inverse document frequency over all training documents, and scaled to length one. Each
 language has several centroids, found by spherical k-means; the nearest one by cosine
 names the language. A text that is further from all centroids than texts of its length
-ever are is rejected.
+in that language ever are is rejected; all training documents are measured for it.
 
 Texts are read whole. Null texts and texts without a letter are ``und`` and rejected.
 Training leaves out rows without text, language or id. Without any training row every
@@ -37,10 +37,13 @@ ROUNDS = 12
 LOT = 256
 UNKNOWN = "und"
 # A text is rejected when its cosine is below this part of what all but one in 200
-# sampled texts of its length class reach; a class needs so many sampled texts.
+# training texts of its language and length class reach. A class of fewer texts takes
+# the threshold of the nearest class that has so many, or a lower one of its own.
 MARGIN = 0.5
 LOW = 0.005
 CLASS_ROWS = 20
+# Length classes there are at most; an Arrow string has fewer than 2^31 letters.
+CLASSES = 31
 
 
 def _letters() -> np.ndarray:
@@ -100,8 +103,8 @@ class LanguageModel:
     languages: list[str]
     centroids: np.ndarray
     idf: np.ndarray
-    # least cosine by length class, the number of bits of the number of letters
-    least: dict[int, float] = field(default_factory=dict)
+    # least cosine by language and length class, the number of bits of the number of letters
+    least: dict[tuple[str, int], float] = field(default_factory=dict)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool, int]]:
         """(language, cosine, rejected, letters) of each text."""
@@ -118,11 +121,55 @@ class LanguageModel:
                     out.append((UNKNOWN, 0.0, True, 0))
                     continue
                 score = min(1.0, max(0.0, float(cosines[i, best[i]])))
-                far = score < self.least.get(n.bit_length(), 0.0)
-                out.append((self.languages[best[i]], score, far, n))
+                name = self.languages[best[i]]
+                far = score < self.least.get((name, min(n.bit_length(), CLASSES)), 0.0)
+                out.append((name, score, far, n))
         return out
 
 
+def thresholds(
+    lows: dict[tuple[str, int], tuple[float, int]], languages: list[str]
+) -> dict[tuple[str, int], float]:
+    """The least cosine of every language and length class.
+
+    ``lows`` has the low cosine and the number of texts of those that occur. A language
+    without a filled class takes the others' lowest; without any there is no threshold.
+    """
+    filled = {at: low for at, (low, n) in lows.items() if n >= CLASS_ROWS}
+    out = {}
+    for name in languages:
+        own = {w: low for (lang, w), low in filled.items() if lang == name}
+        for _, w in filled if not own else ():
+            own[w] = min(low for (_, other), low in filled.items() if other == w)
+        for width in range(1, CLASSES + 1) if own else ():
+            low = min((abs(width - w), reach) for w, reach in own.items())[1]
+            if (name, width) not in filled:
+                low = min(low, lows.get((name, width), (low, 0))[0])
+            out[name, width] = MARGIN * low
+    return out
+
+
+def class_lows(rows: DataFrame, model: LanguageModel) -> dict[tuple[str, int], tuple[float, int]]:
+    """(low cosine, texts) by language and length class, of all of ``rows`` with letters."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = shared.value.predict(batch.column(1).to_pylist())
+            columns = [pa.array([r[1] for r in found], pa.float64())]
+            columns.append(pa.array([r[3].bit_length() for r in found], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *columns], names=["lang", "score", "width"]
+            )
+
+    scored = rows.select(F.col("lang").cast("string"), "text")
+    scored = scored.mapInArrow(reach, "lang string, score double, width bigint").where("width > 0")
+    low = scored.groupBy("lang", F.least("width", F.lit(CLASSES)).alias("width")).agg(
+        F.percentile_approx("score", LOW).alias("low"), F.count(F.lit(1)).alias("n")
+    )
+    return {(r["lang"], r["width"]): (r["low"], r["n"]) for r in low.collect()}
+
+
 def held_out(key: Column) -> Column:
     """Whether a document is kept for testing; one without an id is not."""
     check = F.crc32(key.cast("string").cast("binary"))
@@ -139,7 +186,8 @@ def fit_languages(
 ) -> LanguageModel:
     """A model from the documents that are not held out.
 
-    The driver gets DIMENSIONS counts, and ``centroids`` vectors of each language.
+    The driver gets DIMENSIONS counts, ``centroids`` vectors of each language, and one row
+    for each of its length classes.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -187,12 +235,7 @@ def fit_languages(
     model = LanguageModel(
         [r["lang"] for r in found], np.array([r["centroid"] for r in found], np.float32), idf
     )
-    scored = identify(chosen, model).where(F.col("letters") > 0)
-    width = F.length(F.bin(F.col("letters")))
-    low = scored.groupBy(width.alias("width")).agg(
-        F.percentile_approx("score", LOW).alias("low"), F.count(F.lit(1)).alias("n")
-    )
-    model.least = {r["width"]: MARGIN * r["low"] for r in low.collect() if r["n"] >= CLASS_ROWS}
+    model.least = thresholds(class_lows(rows, model), model.languages)
     return model
 
 

@@ -3,7 +3,16 @@ import random
 from llm_cases import SCHEMA, awkward, awkward_rows, empty
 from pyspark.sql import functions as F
 
-from martkit.llm.language import UNKNOWN, fit_languages, held_out, identify, keep_identified
+from martkit.llm.language import (
+    CLASS_ROWS,
+    MARGIN,
+    UNKNOWN,
+    fit_languages,
+    held_out,
+    identify,
+    keep_identified,
+    thresholds,
+)
 
 SOUNDS = {
     "aa": ["ka", "to", "mi", "ra", "shi", "no"],
@@ -63,6 +72,43 @@ def test_far_texts_are_rejected(spark):
     assert [r["doc_id"] for r in kept] == [2]
 
 
+def test_far_texts_of_rare_lengths_are_rejected(spark):
+    docs = spark.createDataFrame(made(4), SCHEMA)
+    model = fit_languages(docs, sample=30)
+    strange = [(n, "xq zj wv kp " * n, None, None, 1) for n in (1, 2, 4, 30, 200, 3000)]
+    plain = [(-n, "ka to mi ra shi no " * n, None, None, 1) for n in (1, 4, 30, 200, 3000)]
+    found = identify(spark.createDataFrame(strange + plain, SCHEMA), model).collect()
+    assert {r["doc_id"]: r["rejected"] for r in found} == {
+        r[0]: r[0] > 0 for r in strange + plain
+    }
+
+
+def test_thresholds_come_from_all_documents(spark):
+    # of 100 texts of a language, most are outside the sample
+    docs = spark.createDataFrame(made(5), SCHEMA)
+    known = docs.where(~held_out(docs["doc_id"])).where("lang is not null").collect()
+    model = fit_languages(docs, sample=10)
+    widths = {}
+    for row in known:
+        width = sum(c.isalpha() for c in row["text"]).bit_length()
+        widths.setdefault((row["lang"], width), []).append(row["text"])
+    many = {at: texts for at, texts in widths.items() if len(texts) >= CLASS_ROWS}
+    assert many
+    for at, texts in many.items():
+        least = min(score for _, score, _, _ in model.predict(texts))
+        assert abs(model.least[at] - MARGIN * least) < 1e-6
+
+
+def test_sparse_classes_take_the_nearest_threshold():
+    lows = {("aa", 5): (0.4, 50), ("aa", 9): (0.8, 50), ("aa", 10): (0.2, 3), ("bb", 9): (0.6, 2)}
+    least = thresholds(lows, ["aa", "bb"])
+    assert least["aa", 5] == MARGIN * 0.4 and least["aa", 9] == MARGIN * 0.8
+    assert least["aa", 1] == least["aa", 7] == MARGIN * 0.4 and least["aa", 17] == MARGIN * 0.8
+    assert least["aa", 10] == MARGIN * 0.2
+    assert least["bb", 1] == MARGIN * 0.4 and least["bb", 9] == MARGIN * 0.6
+    assert thresholds({("aa", 3): (0.5, 2)}, ["aa"]) == {}
+
+
 def test_awkward_rows(spark):
     frame = awkward(spark)
     model = fit_languages(frame)

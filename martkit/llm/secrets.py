@@ -29,7 +29,8 @@ BEFORE, AFTER = 40, 12
 # The dictionary: the most frequent words of three letters or more, so many of them.
 DICTIONARY = 256
 LONGEST_WORD = 10
-# Labelled findings that the forest is trained on, about so many of each label.
+# Different labelled findings that the forest is trained on, about so many of each label;
+# each weighs as much as it has copies.
 SAMPLE = 4000
 TREES, DEPTH = 24, 6
 KEPT = 0.5
@@ -168,20 +169,32 @@ def scan_secrets(
         given = findings.withColumn("label", sure_label())
     else:
         given = add_features(labelled.select("found", "before", "after", "label"), words)
-    given = given.where(F.col("label").isin(0.0, 1.0)).select("found", "label", *FEATURES)
-    sizes = {r["label"]: r["n"] for r in given.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    given = given.where(F.col("label").isin(0.0, 1.0))
+    # copies, which no feature parts, are one finding of more weight
+    given = given.groupBy("label", *FEATURES).agg(F.count(F.lit(1)).alias("copies"))
+    given = materialize(given, "secret-findings")
+    drawn = F.pmod(F.xxhash64(*FEATURES, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    sizes = given.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min(drawn).alias("first"))
+    sizes = {r["label"]: (r["n"], r["first"]) for r in sizes.collect()}
     out = ["doc_id", "start", "end", "found"]
     if len(sizes) < 2:
         return findings.select(*out, F.lit(None).cast("double").alias("score"), F.lit(True).alias("kept"))
-    # copies of a finding are drawn together, so some more or fewer than `sample` come
-    chance = F.when(F.col("label") == 1, min(1.0, sample / sizes[1.0])).otherwise(
-        min(1.0, sample / sizes[0.0])
-    )
-    drawn = F.pmod(F.xxhash64("found", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    training = materialize(given.where(drawn < chance), "secret-labels")
+    # the first by the draw always comes, so both labels do
+    bound = {label: max(sample / n, first) for label, (n, first) in sizes.items()}
+    chance = F.when(F.col("label") == 1, bound[1.0]).otherwise(bound[0.0])
+    training = given.where(drawn <= chance).orderBy("label", *FEATURES)
+    training = materialize(training, "secret-labels")
+    weights = {r["label"]: r["n"] for r in training.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
+    # both labels weigh the same
+    weight = F.col("copies") / F.when(F.col("label") == 1, weights[1.0]).otherwise(weights[0.0])
+    training = training.withColumn("weight", weight * sum(weights.values()))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(
-        numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt"
+        numTrees=TREES,
+        maxDepth=DEPTH,
+        seed=seed,
+        featureSubsetStrategy="sqrt",
+        weightCol="weight",
     )
     model = forest.fit(assembler.transform(training))
     scored = model.transform(assembler.transform(findings))

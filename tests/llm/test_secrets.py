@@ -65,6 +65,18 @@ def test_labels_of_the_caller(spark):
     assert kept and not any(re.search("[0-9]", x) for x in kept)
 
 
+def test_few_secrets_of_many_copies(spark):
+    rows, _ = made(4, 40)
+    words = [(i, text) for i, text in rows if i % 4 > 1]
+    for seed in range(6):
+        rng = random.Random(seed)
+        keys = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(2)]
+        copies = [(1000 + i, f'token = "{keys[i % 2]}"') for i in range(400)]
+        frame = spark.createDataFrame(words + copies, SCHEMA)
+        found = scan_secrets(frame, sample=5, seed=seed).where("kept").select("found").collect()
+        assert {r["found"] for r in found} >= set(keys) and len(found) >= 400
+
+
 def test_awkward_rows_and_empty_table(spark):
     found = scan_secrets(awkward(spark)).collect()
     assert all(r["kept"] and r["score"] is None for r in found)

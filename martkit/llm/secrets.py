@@ -14,6 +14,8 @@ are kept and their score is null. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,8 +26,12 @@ from martkit.llm.common import quoted
 from martkit.session import materialize
 
 LEAST = 16
-CANDIDATE = rf"[A-Za-z0-9_+/\-]{{{LEAST},}}={{0,2}}"
+# What assigns a value is no padding of the name before it.
+PADDING = r"(?:={1,2}(?![\"'`]?[A-Za-z0-9_+/=$@#%^*~\-]))?"
+CANDIDATE = rf"[A-Za-z0-9_+/\-]{{{LEAST},}}{PADDING}"
+# The context of a candidate, in characters, whatever candidates lie in it.
 BEFORE, AFTER = 40, 12
+SHORTEST = 6
 # The dictionary: the most frequent words of three letters or more, so many of them.
 DICTIONARY = 256
 LONGEST_WORD = 10
@@ -37,7 +43,7 @@ KEPT = 0.5
 
 # Signs of a secret, by prefix of a known key format or by assignment.
 KNOWN_KEY = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
-ASSIGNED = r"(?i)(token|secret|passw(or)?d|pwd|api_?key|auth|credential|bearer)[\"']?\s*[:=]\s*[\"']?$"
+ASSIGNED = r"(?i)(token|secret|passw(or)?d|pwd|(api|access|secret|private)_?key|auth|credential|bearer)[\"']?\s*[:=]\s*[\"']?$"
 KEY_WORD = r"(?i)(token|secret|passw|pwd|key|auth|credential|bearer)"
 EXAMPLE_WORD = r"(?i)(example|sample|dummy|placeholder|sha(1|256)?|md5|uuid|commit|checksum|hash)"
 
@@ -78,13 +84,25 @@ def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("hits"),
     )
 
+    def joined(i: Column, first: int, last: int, part: Callable[[Column], Column]) -> Column:
+        """Gaps and candidates in turn about the gap before candidate i, each cut by ``part``."""
+        at = F.sequence(F.greatest(i + first, F.lit(0)), i + last)
+
+        def piece(j: Column) -> Column:
+            found = F.when(j < i + last, part(F.get("hits", j))).otherwise("")
+            return F.concat(part(F.get("gaps", j)), F.coalesce(found, F.lit("")))
+
+        return F.array_join(F.transform(at, piece), "")
+
     def hit(found: Column, i: Column) -> Column:
-        gap, following = F.get("gaps", i), F.get("gaps", i + 1)
+        # so many pieces hold BEFORE and AFTER characters, as none is empty but gaps
+        before = joined(i, -BEFORE // SHORTEST, 0, lambda x: F.right(x, F.lit(BEFORE)))
+        after = joined(i + 1, 0, -(-AFTER // SHORTEST), lambda x: F.left(x, F.lit(AFTER)))
         return F.struct(
             found.alias("found"),
-            F.substr(gap, F.greatest(F.char_length(gap) - BEFORE + 1, F.lit(1))).alias("before"),
-            F.left(following, F.lit(AFTER)).alias("after"),
-            (F.char_length(gap) + F.char_length(found)).alias("step"),
+            F.right(before, F.lit(BEFORE)).alias("before"),
+            F.left(after, F.lit(AFTER)).alias("after"),
+            (F.char_length(F.get("gaps", i)) + F.char_length(found)).alias("step"),
         )
 
     rows = rows.select("doc_id", F.transform("hits", hit).alias("hits"))

@@ -3,7 +3,7 @@ import re
 
 from llm_cases import awkward, empty
 
-from martkit.llm.secrets import CANDIDATE, find_candidates, scan_secrets
+from martkit.llm.secrets import CANDIDATE, add_features, find_candidates, scan_secrets
 
 SCHEMA = "doc_id bigint, text string"
 WORDS = ["neighbour", "hood", "under", "standing", "counter", "balance", "over", "whelming"]
@@ -42,6 +42,28 @@ def test_candidates_are_in_place(spark):
     assert {(r["doc_id"], r["start"], r["end"], r["found"]) for r in found} == expected
 
 
+def test_context_goes_beyond_the_next_candidate(spark):
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"
+    texts = [
+        f'my_client_secret_token = "{key}"',
+        f"aws_secret_access_key={key}",
+        f'x aws_secret_access_key="{key}==" or_another_candidate_here',
+        " ".join("abcdef0123456789" for _ in range(9)) + f" é\U0001f600 {key}= {key}={key}",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    found = find_candidates(frame).collect()
+    assert len(found) == 2 + 2 + 3 + 12
+    for r in found:
+        text, start, end = texts[r["doc_id"]], r["start"], r["end"]
+        assert text[start:end] == r["found"]
+        assert r["before"] == text[max(0, start - 40) : start]
+        assert r["after"] == text[end : end + 12]
+    assert "aws_secret_access_key" in {r["found"] for r in found}
+    scored = add_features(find_candidates(frame), []).where(f"found like '{key}%' and doc_id < 2")
+    assert [r["assigned"] for r in scored.collect()] == [1.0, 1.0]
+    assert [r["key_word"] for r in scored.collect()] == [1.0, 1.0]
+
+
 def test_secrets_are_kept_and_words_are_not(spark):
     rows, secret = made(2)
     found = scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect()

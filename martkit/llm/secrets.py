@@ -1,7 +1,8 @@
 r"""Secret scans: a wide pattern finds candidates, a random forest removes false ones.
 
-A candidate is a run of LEAST or more key-like characters. Its features are length,
-changes between kinds of characters, shares of kinds, how much of it consists of words of
+A candidate is a run of LEAST or more key-like characters, also of several parts joined
+by points, or the value, of SHORTEST or more signs, of an assignment. Its features are
+length, changes between kinds of characters, shares of kinds, how much of it consists of words of
 the corpus' own dictionary, slashes in and around it (paths), and the words and signs
 next to it. The forest is trained on labelled findings: those a caller gives, or those
 that fixed rules are sure of. All but the bounded training sample runs as Spark
@@ -26,12 +27,16 @@ from martkit.llm.common import quoted
 from martkit.session import materialize
 
 LEAST = 16
-# What assigns a value is no padding of the name before it.
-PADDING = r"(?:={1,2}(?![\"'`]?[A-Za-z0-9_+/=$@#%^*~\-]))?"
-CANDIDATE = rf"[A-Za-z0-9_+/\-]{{{LEAST},}}{PADDING}"
+# No candidate is shorter.
+SHORTEST = 6
 # The context of a candidate, in characters, whatever candidates lie in it.
 BEFORE, AFTER = 40, 12
-SHORTEST = 6
+# What assigns a value is no padding of the name before it.
+PADDING = r"(?:={1,2}(?![\"'`]?[A-Za-z0-9_+/=$@#%^*~\-]))?"
+# A run, or runs that points join, as those of tokens.
+TAIL = rf"(?:\.[A-Za-z0-9_+/\-]{{{SHORTEST},}})*+"
+JWT = r"eyJ[A-Za-z0-9_\-]{8,}(?:\.{1,2}[A-Za-z0-9_\-]+){1,4}"
+CANDIDATE = rf"{JWT}|[A-Za-z0-9_+/\-]{{{LEAST},}}{TAIL}{PADDING}"
 # The dictionary: the most frequent words of three letters or more, so many of them.
 DICTIONARY = 256
 LONGEST_WORD = 10
@@ -42,8 +47,20 @@ TREES, DEPTH = 24, 6
 KEPT = 0.5
 
 # Signs of a secret, by prefix of a known key format or by assignment.
-KNOWN_KEY = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
-ASSIGNED = r"(?i)(token|secret|passw(or)?d|pwd|(api|access|secret|private)_?key|auth|credential|bearer)[\"']?\s*[:=]\s*[\"']?$"
+KNOWN_KEY = rf"^{JWT}$|" + r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
+NAMES = r"(token|secret|passw(or)?d|pwd|(api|access|secret|private)_?key|auth|credential|bearer)"
+ASSIGNED = rf"(?i){NAMES}[\"']?\s*[:=]\s*[\"']?$"
+# The value of an assignment, of any signs but blanks: up to the closing quote, or less
+# the punctuation of the sentence or call around it and other parameters of an address.
+# Java's expressions alone look back so far.
+VALUE = (
+    r"(?<=[:=]\s{0,4}[\"']?)(?<![^\"'\s:=])(?![:=])"
+    rf"(?<=(?i:{NAMES})[\"']?\s{{0,4}}[:=]\s{{0,4}}[\"']?)"
+    rf"(?:(?<=\")[^\s\"]{{{SHORTEST},}}+(?=\")|(?<=')[^\s']{{{SHORTEST},}}+(?=')"
+    rf"|[^\s\"'`]{{{SHORTEST},}}?(?<![,;.:!?)\]}}>&])"
+    r"(?=[,;.:!?)\]}>&]*+(?:[\s\"'`]|$)|[,;.:!?)\]}>]*+&[A-Za-z_]++=))"
+)
+FINDING = f"{VALUE}|{CANDIDATE}"
 KEY_WORD = r"(?i)(token|secret|passw|pwd|key|auth|credential|bearer)"
 EXAMPLE_WORD = r"(?i)(example|sample|dummy|placeholder|sha(1|256)?|md5|uuid|commit|checksum|hash)"
 
@@ -77,11 +94,11 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> l
 def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, end, found, before, after), one row per candidate."""
     rows = docs.select(quoted(key).alias("doc_id"), quoted(text).alias("text"))
-    rows = rows.where(F.col("text").rlike(CANDIDATE))
+    rows = rows.where(F.col("text").rlike(FINDING))
     rows = rows.select(
         "doc_id",
-        F.split("text", CANDIDATE).alias("gaps"),
-        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("hits"),
+        F.split("text", FINDING).alias("gaps"),
+        F.regexp_extract_all("text", F.lit(FINDING), F.lit(0)).alias("hits"),
     )
 
     def joined(i: Column, first: int, last: int, part: Callable[[Column], Column]) -> Column:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.common import quoted
+from martkit.operators.joins import lookup_join
 from martkit.session import materialize
 
 LEAST = 16
@@ -37,9 +38,11 @@ PADDING = r"(?:={1,2}(?![\"'`]?[A-Za-z0-9_+/=$@#%^*~\-]))?"
 TAIL = rf"(?:\.[A-Za-z0-9_+/\-]{{{SHORTEST},}})*+"
 JWT = r"eyJ[A-Za-z0-9_\-]{8,}(?:\.{1,2}[A-Za-z0-9_\-]+){1,4}"
 CANDIDATE = rf"{JWT}|[A-Za-z0-9_+/\-]{{{LEAST},}}{TAIL}{PADDING}"
-# The dictionary: the most frequent words of three letters or more, so many of them.
-DICTIONARY = 256
-LONGEST_WORD = 10
+# The dictionary: all words of three letters or more that so many documents hold.
+LEAST_DOCS = 2
+LEAST_LETTERS = 3
+# Words of a candidate: runs of letters, parted where the case changes.
+BORDER = r"[^\p{L}]+|(?<=\p{Ll})(?=\p{Lu})|(?<=\p{Lu})(?=\p{Lu}\p{Ll})"
 # Different labelled findings that the forest is trained on, about so many of each label;
 # each weighs as much as it has copies.
 SAMPLE = 4000
@@ -82,13 +85,36 @@ FEATURES = [
 ]
 
 
-def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> list[str]:
-    """The most frequent words of all documents, in the order of their counts."""
-    words = F.split(F.lower(quoted(text)), r"[^\p{L}]+")
-    words = docs.select(F.explode(words).alias("word"))
-    words = words.where(F.char_length("word").between(3, LONGEST_WORD)).groupBy("word")
-    top = words.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [r["word"] for r in top.collect()]
+def dictionary(docs: DataFrame, text: str = "text", least: int = LEAST_DOCS) -> DataFrame:
+    """(word): every word of ``least`` documents or more.
+
+    Letters beside digits and signs are no words, or copied keys would teach their own.
+    """
+    tokens = F.split(F.lower(quoted(text)), r"[^\p{L}\p{N}_+/=\-]+")
+    tokens = F.filter(tokens, lambda t: ~F.rlike(t, F.lit(r"[\p{N}_+=]")))
+    words = F.flatten(F.transform(tokens, lambda t: F.split(t, r"[/\-]+")))
+    words = F.filter(words, lambda w: F.char_length(w) >= LEAST_LETTERS)
+    words = docs.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word")
+    return words.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("word")
+
+
+def add_coverage(candidates: DataFrame, words: DataFrame) -> DataFrame:
+    """``candidates`` with ``covered``, the share of ``found`` that words make up.
+
+    Words are looked up once for each different part of the different findings.
+    """
+    different = materialize(candidates.select("found").distinct(), "secret-founds")
+    parts = F.transform(F.split("found", BORDER), lambda w: F.lower(w))
+    parts = F.filter(parts, lambda w: F.char_length(w) >= LEAST_LETTERS)
+    parts = materialize(different.select("found", F.explode(parts).alias("word")), "secret-parts")
+    known = lookup_join(parts.select("word").distinct(), words, ["word"], "inner")
+    known = materialize(known, "secret-words")
+    hits = lookup_join(parts, known, ["word"], "inner")
+    letters = hits.groupBy("found").agg(F.sum(F.char_length("word")).alias("letters"))
+    letters = materialize(letters, "secret-coverage")
+    rows = lookup_join(candidates, letters, ["found"], "left")
+    share = F.coalesce(F.col("letters"), F.lit(0)) / F.char_length("found")
+    return rows.withColumn("covered", share.cast("double")).drop("letters")
 
 
 def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -144,15 +170,14 @@ def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def add_features(candidates: DataFrame, words: list[str]) -> DataFrame:
+def add_features(candidates: DataFrame, words: DataFrame) -> DataFrame:
+    candidates = add_coverage(candidates, words)
     found, before, after = F.col("found"), F.col("before"), F.col("after")
     length = F.char_length(found).cast("double")
 
     def share(pattern: str) -> Column:
         return F.regexp_count(found, F.lit(pattern)) / length
 
-    known = "|".join(sorted((w for w in words if w), key=lambda w: (-len(w), w)))
-    rest = F.regexp_replace(F.lower(found), known, "") if known else found
     number = {
         "length": length,
         "changes": F.regexp_count(
@@ -164,7 +189,7 @@ def add_features(candidates: DataFrame, words: list[str]) -> DataFrame:
         "capitals": share("[A-Z]"),
         "hex": share("[0-9a-fA-F]"),
         "signs": share("[^A-Za-z0-9]"),
-        "covered": 1 - F.char_length(rest) / length,
+        "covered": F.col("covered"),
         "slashes": share("/"),
         "in_path": F.rlike(before, F.lit(r"[/\\.]$")) | F.rlike(after, F.lit(r"^[/\\.][A-Za-z0-9]")),
         "assigned": F.rlike(before, F.lit(ASSIGNED)),
@@ -198,12 +223,14 @@ def scan_secrets(
     ``labelled`` holds findings to learn from: found, before, after, and label (1.0 for a
     secret). Without it the findings that ``sure_label`` is sure of are taken.
     """
-    words = dictionary(docs, text)
-    findings = materialize(add_features(find_candidates(docs, key, text), words), "secrets")
+    words = materialize(dictionary(docs, text), "secret-dictionary")
+    candidates = materialize(find_candidates(docs, key, text), "secret-candidates")
+    findings = materialize(add_features(candidates, words), "secrets")
     if labelled is None:
         given = findings.withColumn("label", sure_label())
     else:
-        given = add_features(labelled.select("found", "before", "after", "label"), words)
+        given = labelled.select("found", "before", "after", "label")
+        given = add_features(materialize(given, "secret-given"), words)
     given = given.where(F.col("label").isin(0.0, 1.0))
     # copies, which no feature parts, are one finding of more weight
     given = given.groupBy("label", *FEATURES).agg(F.count(F.lit(1)).alias("copies"))

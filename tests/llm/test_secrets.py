@@ -3,7 +3,7 @@ import re
 
 from llm_cases import awkward, empty
 
-from martkit.llm.secrets import CANDIDATE, add_features, find_candidates, scan_secrets
+from martkit.llm.secrets import CANDIDATE, add_features, dictionary, find_candidates, scan_secrets
 
 SCHEMA = "doc_id bigint, text string"
 WORDS = ["neighbour", "hood", "under", "standing", "counter", "balance", "over", "whelming"]
@@ -59,7 +59,7 @@ def test_context_goes_beyond_the_next_candidate(spark):
         assert r["before"] == text[max(0, start - 40) : start]
         assert r["after"] == text[end : end + 12]
     assert "aws_secret_access_key" in {r["found"] for r in found}
-    scored = add_features(find_candidates(frame), []).where(f"found like '{key}%' and doc_id < 2")
+    scored = add_features(find_candidates(frame), dictionary(frame)).where(f"found like '{key}%' and doc_id < 2")
     assert [r["assigned"] for r in scored.collect()] == [1.0, 1.0]
     assert [r["key_word"] for r in scored.collect()] == [1.0, 1.0]
 
@@ -108,6 +108,22 @@ def test_short_values_are_kept(spark):
     )
 
 
+def test_the_whole_dictionary_covers(spark):
+    # 400 words more frequent than those that the identifiers consist of
+    common = ["".join(chr(97 + i // 26 ** k % 26) for k in range(2)) + "zq" for i in range(400)]
+    rows = [(i, " ".join(common)) for i in range(5)]
+    rows += [(10 + i, "neighbourhood extraordinarily Größe balance") for i in range(2)]
+    copied = "qwkjzxvbnmrtpsd0lkjhgfd"
+    named = ["neighbourhoodExtraordinarilyBalance", "/srv/neighbourhood/balance_1", copied]
+    rows += [(20 + i, f"{name}!") for i, name in enumerate(named)] + [(30, copied), (31, copied)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    words = dictionary(frame)
+    assert {"neighbourhood", "extraordinarily", "größe"} <= {r["word"] for r in words.collect()}
+    found = add_features(find_candidates(frame), words).where("doc_id >= 20").collect()
+    covered = {r["found"]: round(r["covered"] * len(r["found"])) for r in found}
+    assert covered == {named[0]: 35, named[1]: 20, copied: 0}
+
+
 def test_secrets_are_kept_and_words_are_not(spark):
     rows, secret = made(2)
     found = scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect()

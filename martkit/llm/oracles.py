@@ -54,5 +54,10 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sum(length(escaped) + CASE WHEN before = role THEN length('<|part|>')
     ELSE length(shown) + length('<|turn|><|text|><|end|>') END)::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
+""",
+    "op12_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """,
 }

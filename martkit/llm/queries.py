@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martkit.llm.chat import chat_digests, format_conversations
 from martkit.llm.common import table
 from martkit.llm.embeddings import link_embeddings
+from martkit.llm.exact import exact_duplicates
 from martkit.llm.fingerprints import edited_fingerprints
 from martkit.llm.jaccard import jaccard_components
 from martkit.llm.language import fit_languages, held_out, identify
@@ -98,6 +99,10 @@ def op10_shard_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_secret_forest": op2_secret_forest,
@@ -109,4 +114,5 @@ QUERIES = {
     "op8_embedding_itq": op8_embedding_itq,
     "op9_pii": op9_pii,
     "op10_shard_feistel": op10_shard_feistel,
+    "op12_exact_dedup": op12_exact_dedup,
 }

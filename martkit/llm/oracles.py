@@ -59,5 +59,100 @@ FROM turns GROUP BY conv_id
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op11_bloom_search": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+), lengths AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths
+), norms AS (
+  SELECT doc_id, 50 + ((50 * n * docs) // terms) AS m FROM lengths, totals
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals
+), scores AS (
+  SELECT item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN norms USING (doc_id)
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0)
+WHERE rank <= 50
+""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, n_chars,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') AS a,
+    coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS b,
+    coalesce(strlen(text) || ':' || text, '-') AS d
+  FROM documents
+), shown AS (
+  SELECT doc_id, lang, sha256(a || b || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || d) AS leaf,
+    -- CRC-32 of the decimal id, byte by byte and bit by bit
+    list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(doc_id::VARCHAR, ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+        WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS register,
+    CASE WHEN n_chars IS NOT NULL THEN sha256(a || b
+      || strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) || d) ELSE leaf END AS longer
+  FROM leaves
+), ranked AS (
+  SELECT *, CASE WHEN xor(register, 4294967295) % 7 = 0 THEN longer ELSE leaf END AS presented,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS place
+  FROM shown
+), nodes AS (
+  SELECT 0 AS level, lang, place AS spot, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n
+  FROM ranked
+  UNION ALL
+  SELECT level + 1, lang, spot // 2, sha256(string_agg(digest, '' ORDER BY spot)), (max(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY level, lang, spot // 2
+), subroots AS (
+  SELECT lang, level AS tall, digest,
+    row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER () AS trees
+  FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, tree AS spot, digest, trees AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, spot // 2, sha256(string_agg(digest, '' ORDER BY spot)), (max(n) + 1) // 2
+  FROM top WHERE n > 1 GROUP BY level, spot // 2
+), folded AS (
+  SELECT r.doc_id, r.lang, r.leaf, 0 AS level, tall, tree, place, presented AS digest,
+    '' AS proof, s.digest AS subroot
+  FROM ranked r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT f.doc_id, f.lang, f.leaf, f.level + 1, tall, tree, place,
+    CASE WHEN o.digest IS NULL THEN sha256(f.digest)
+      WHEN o.spot % 2 = 1 THEN sha256(f.digest || o.digest) ELSE sha256(o.digest || f.digest) END,
+    proof || coalesce(o.digest, ''), subroot
+  FROM folded f LEFT JOIN (
+    SELECT lang, false AS above, level, spot, digest FROM nodes
+    UNION ALL SELECT NULL, true, level, spot, digest FROM top) o
+    ON o.above = (f.level >= tall)
+    AND (o.above OR o.lang IS NOT DISTINCT FROM f.lang)
+    AND o.level = CASE WHEN f.level < tall THEN f.level ELSE f.level - tall END
+    AND o.spot = xor(CASE WHEN f.level < tall THEN place >> f.level
+      ELSE tree >> (f.level - tall) END, 1)
+  WHERE f.level < tall + (SELECT max(level) FROM top)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f.digest AS folded_root,
+  f.digest = root AS verified
+FROM folded f, (SELECT digest AS root FROM top WHERE n = 1)
+WHERE level = tall + (SELECT max(level) FROM top)
 """,
 }

@@ -12,6 +12,8 @@ from martkit.llm.exact import exact_duplicates
 from martkit.llm.fingerprints import edited_fingerprints
 from martkit.llm.jaccard import jaccard_components
 from martkit.llm.language import fit_languages, held_out, identify
+from martkit.llm.lexical import build_index, search
+from martkit.llm.manifest import build_manifest, prove
 from martkit.llm.mixing import mix_sources
 from martkit.llm.packing import pack_documents
 from martkit.llm.pii import detect_pii
@@ -99,10 +101,25 @@ def op10_shard_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bloom_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    docs = table(spark, sf_dir, "documents")
+    return search(build_index(docs), docs, table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents proven, those tampered with whose id's checksum 7 divides."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    longer = F.try_add("n_chars", F.lit(1).cast("bigint"))
+    tampered = {"n_chars": F.when(checksum % 7 == 0, longer).otherwise(F.col("n_chars"))}
+    manifest = build_manifest(table(spark, sf_dir, "documents"), presented=tampered)
+    return prove(manifest).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_secret_forest": op2_secret_forest,
@@ -114,5 +131,7 @@ QUERIES = {
     "op8_embedding_itq": op8_embedding_itq,
     "op9_pii": op9_pii,
     "op10_shard_feistel": op10_shard_feistel,
+    "op11_bloom_search": op11_bloom_search,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -34,19 +34,24 @@ from zlib import crc32
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from martkit.llm.common import bound_batches, quoted
 from martkit.operators.joins import lookup_join
 from martkit.session import materialize
 
 # Slices that a term is looked up in, and signature bits per entry (at least).
-HASHES = 4
-BITS = 8
+HASHES = 6
+BITS = 12
+
+# Documents tried first for each of the k that are asked for: some of those with the
+# highest bounds are there by false positives alone, and would give a low score to reach.
+TRIED = 4
 
 # A block holds so many bits, and documents between these bounds.
 BLOCK_BITS = 1 << 22
 BLOCK_ROWS = (8, 2048)
-LEAST_WIDTH = 64
+LEAST_WIDTH = 128
 
 # Different terms that a task counts before it passes the counts on.
 COUNTED = 100_000
@@ -121,7 +126,7 @@ def slice_numbers(keys, width: int):
 
 
 def signature_width(entries: int) -> int:
-    return max(LEAST_WIDTH, BITS << (entries - 1).bit_length())
+    return max(LEAST_WIDTH, 1 << (BITS * entries - 1).bit_length())
 
 
 def block_rows(width: int) -> int:
@@ -444,8 +449,6 @@ def _scored(
                 names=["number", "key", "score"],
             )
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     of_key = to_arrow_type(found.schema["key"].dataType)
     bound_batches(docs.sparkSession)
     return found.mapInArrow(score, f"number bigint, key {kind}, score bigint")
@@ -459,10 +462,11 @@ def _ranked(scored: DataFrame, k: int) -> DataFrame:
 def _search_lot(
     index: SignatureIndex, docs: DataFrame, lot: _Lot, k: int, key: str, text: str
 ) -> DataFrame:
-    bounds = _bounded(index, lot, k, None)
+    bounds = _bounded(index, lot, TRIED * k, None)
     order = Window.partitionBy("number").orderBy(F.desc("bound"), "text")
     bounds = bounds.withColumn("place", F.row_number().over(order))
-    probe = materialize(bounds.where(F.col("place") <= k).select("number", "text"), "lexical-probe")
+    first = bounds.where(F.col("place") <= TRIED * k).select("number", "text")
+    probe = materialize(first, "lexical-probe")
     tried = _ranked(_scored(docs, probe.distinct(), index, lot, k, key, text), k)
     reached = tried.groupBy("number").agg(
         F.count(F.lit(1)).alias("n"), F.min("score").alias("score")

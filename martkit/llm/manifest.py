@@ -385,11 +385,7 @@ def prove(manifest: Manifest, with_siblings: bool = False) -> DataFrame:
     spark = manifest.tiers[0].sparkSession
     bound_batches(spark)
     # a path from the subroots on, for every tree
-    nothing = spark.range(1).select(
-        F.lit("").alias("tree"),
-        F.lit(b"").alias("path"),
-        F.lit(None).cast("binary").alias("subroot"),
-    )
+    nothing = spark.createDataFrame([("", b"", None)], "tree string, path binary, subroot binary")
     top = _paths(manifest.top, nothing, bits, "manifest-top")
     lowest = manifest.top[0].select("tree", "block", "n", "leaves", "log")
     lowest = lookup_join(lowest, top, ["tree", "block"], "inner")

@@ -1,6 +1,8 @@
 """Registered queries over the given tables, each with the SQL to check it by."""
 
-from martkit.catalogue.oracles import ORACLES
-from martkit.catalogue.queries import QUERIES
+from martkit.catalogue import daily, kept, oracles, queries
+
+QUERIES = {**queries.QUERIES, **daily.QUERIES, **kept.QUERIES}
+ORACLES = {**oracles.ORACLES, **daily.ORACLES, **kept.ORACLES}
 
 __all__ = ["ORACLES", "QUERIES"]

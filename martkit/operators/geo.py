@@ -27,6 +27,7 @@ from martkit.operators.joins import (
 from martkit.schemas import GEO_RESPONSE
 from martkit.session import materialize
 from martkit.sources.batches import frames
+from martkit.sources.polite import RateLimit, Retry, polite
 
 BOX = ("south", "north", "west", "east")
 
@@ -50,6 +51,8 @@ def enrich_points(
     max_rows: int = BROADCAST_ROWS,
     on_error: str = "raise",
     kept: str | None = None,
+    retry: Retry | None = None,
+    limit: RateLimit | None = None,
 ) -> DataFrame:
     """Add ``status`` and ``body``, the service's answer for each point.
 
@@ -58,7 +61,8 @@ def enrich_points(
     at a time, and the answers are stored before use, so neither repeated points
     nor a re-run of later steps ask again (a task that Spark runs twice asks twice).
     With ``on_error="report"`` a failing call gives a null status and the error as the
-    body, and the others go on. In the folder ``kept`` answers outlast the job: a later
+    body, and the others go on. ``retry`` says which statuses are asked again, and how
+    often; ``limit`` bounds the requests a second of all tasks together. In the folder ``kept`` answers outlast the job: a later
     run adds to it, and asks only for points it has no answer for.
     """
     if on_error not in ("raise", "report"):
@@ -72,8 +76,11 @@ def enrich_points(
                 raise
             return None, f"{type(error).__name__}: {error}"[:1000]
 
+    tasks = parallelism or df.sparkSession.sparkContext.defaultParallelism
+
     def ask(batches):
-        client = connect()
+        bucket = limit.bucket(tasks) if limit else None
+        client = polite(connect(), retry, bucket, status=lambda answer: answer[0])
         for batch in batches:
             answers = ((point, *answer(client, point)) for point in batch[column])
             for frame in frames(answers, [column, "status", "body"]):
@@ -88,7 +95,6 @@ def enrich_points(
     )
     points = df.groupBy(column).agg(F.count(F.lit(1)).alias(WEIGHT)).dropna(subset=[column])
     points = materialize(points, "points")
-    tasks = parallelism or df.sparkSession.sparkContext.defaultParallelism
     open_points = points.select(column)
     known = _kept_answers(df.sparkSession, kept, schema) if kept else None
     if known is not None:
@@ -159,14 +165,17 @@ def locate(
     payload: list[str],
     max_rows: int = BROADCAST_ROWS // 10,
     max_bytes: int = BROADCAST_BYTES // 4,
+    date_line: bool = False,
 ) -> DataFrame:
     """Add ``payload`` of the smallest box around each point (``lat``, ``lon``).
 
     Equal areas are decided by the least ``tie``, which must be a payload
-    column; points in no box get nulls. Each distinct point is located once.
+    column; points in no box get nulls. Each distinct point is located once. With
+    ``date_line`` a box whose west is greater than its east lies across the 180th
+    meridian; otherwise such a box holds no point.
     """
     order = [tie, *[c for c in payload if c != tie]]
-    boxes, levels = _boxes(places, order)
+    boxes, levels = _boxes(places, order, date_line)
     valid = points.where(on_globe(F.col("lat"), F.col("lon")))
     distinct = valid.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias(WEIGHT))
     distinct = materialize(distinct, "points")
@@ -185,9 +194,10 @@ def containing_boxes(
     payload: list[str],
     max_rows: int = BROADCAST_ROWS // 10,
     max_bytes: int = BROADCAST_BYTES // 4,
+    date_line: bool = False,
 ) -> DataFrame:
-    """Points joined with every box around them; a range join."""
-    boxes, levels = _boxes(places, payload)
+    """Points joined with every box around them; a range join. ``date_line`` as in ``locate``."""
+    boxes, levels = _boxes(places, payload, date_line)
     hits = _hits(points, boxes, levels, max_rows, max_bytes)
     return hits.select(
         *[F.col(f"`{c}`") for c in points.columns],
@@ -195,21 +205,48 @@ def containing_boxes(
     )
 
 
-def _boxes(places: DataFrame, order: list[str]) -> tuple[DataFrame, list[int]]:
+AREA = "__area"
+
+
+def _parts(boxed: DataFrame, date_line: bool) -> DataFrame:
+    """The boxes with their areas; one across the date line as its two parts.
+
+    Both parts carry the area of the whole, so a box is not taken for a smaller one. The
+    meridian itself belongs to both, as 180 to one and as -180 to the other, so a point is
+    in one of them at most.
+    """
+    south, north, west, east = (F.col(name) for name in BOX)
+    height = north - south
+    if not date_line:
+        return boxed.withColumn(AREA, height * (east - west))
+    across = (west > east) & (west <= 180) & (east >= -180)
+    whole = F.array(F.struct(west.alias("west"), east.alias("east")))
+    halves = F.array(
+        F.struct(west.alias("west"), F.lit(180.0).alias("east")),
+        F.struct(F.lit(-180.0).alias("west"), east.alias("east")),
+    )
+    turned = F.when(across, F.lit(360.0)).otherwise(F.lit(0.0))
+    split = boxed.withColumn(AREA, height * (east - west + turned))
+    split = split.withColumn("__part", F.explode(F.when(across, halves).otherwise(whole)))
+    bounds = {"west": F.col("__part.west"), "east": F.col("__part.east")}
+    return split.withColumns(bounds).drop("__part")
+
+
+def _boxes(
+    places: DataFrame, order: list[str], date_line: bool = False
+) -> tuple[DataFrame, list[int]]:
     """(cell, place) for every cell a valid box touches, and the pairs of levels in use.
 
     A box without bounds, or with bounds the wrong way round, contains no point.
     """
     boxed = places.withColumns({name: F.col(name).cast("double") for name in BOX})
+    boxed = _parts(boxed, date_line)
     south, north, west, east = (F.col(name) for name in BOX)
     # NaN is the greatest double, so these tests turn it away as well
     valid = boxed.where((south <= north) & (west <= east))
     valid = valid.where((south <= 90) & (north >= -90) & (west <= 180) & (east >= -180))
     valid = valid.where(~F.isnan(north) & ~F.isnan(east))
-    place = F.struct(
-        ((north - south) * (east - west)).alias("area"),
-        *order,
-    )
+    place = F.struct(F.col(AREA).alias("area"), *order)
     bounds = [f"__{name}" for name in BOX]
     # cells of the part that lies on the globe; the test uses the whole box
     bottom, top = F.greatest(south, F.lit(-90.0)), F.least(north, F.lit(90.0))

@@ -1,10 +1,18 @@
-"""Roll-ups of the sales mart."""
+"""Roll-ups of the sales mart.
+
+Yen are summed as decimals, so a total does not depend on the order of the rows or on how
+they were dealt out, and rounded to a double once, at the end. An amount of 10**20 or more,
+or one that is no number, raises.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Eight places hold what a rate of as many brings in; totals may reach 10**20.
+EXACT, EXACT_TOTAL = "decimal(28,8)", "decimal(38,8)"
+
 # Fixed value: the name reports give the total ("sales").
 TOTAL = "売り上げ"
 
@@ -31,4 +39,5 @@ def _of_day(mart: DataFrame, day: str | None) -> DataFrame:
 
 
 def _sum(total: str):
-    return F.sum("sales_jpy").alias(total)
+    yen = F.sum(F.col("sales_jpy").cast(EXACT))
+    return yen.cast(EXACT_TOTAL).cast("double").alias(total)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that results depend on; applied to whatever session runs a job.
@@ -102,6 +103,34 @@ def remove_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole content, unless there is one; tells if it did.
+
+    The content is written beside it under a hidden name and moved into place by a rename
+    that does not replace, which file systems such as HDFS do atomically.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    hidden = hadoop.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    files = hadoop.FileContext.getFileContext(hidden.getFileSystem(conf).getUri(), conf)
+    stream = hidden.getFileSystem(conf).create(hidden, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    replace = getattr(hadoop, "Options$Rename")
+    never = spark.sparkContext._gateway.new_array(replace, 0)
+    try:
+        files.rename(files.makeQualified(hidden), files.makeQualified(target), never)
+    except Py4JJavaError as refused:
+        hidden.getFileSystem(conf).delete(hidden, False)
+        if "FileAlreadyExistsException" in str(refused.java_exception):
+            return False
+        raise
+    return True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, grouped by application for clean-up."""
     app = spark.sparkContext.applicationId

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from itertools import batched
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martkit.schemas import MART, MART_PARTITIONS, RATES, RATES_PARTITIONS
+from martkit.session import materialize
 
 RATES_TABLE = "master.currency_rates"
 MART_TABLE = "money.salesdata"
@@ -85,6 +87,77 @@ def missing_partitions(present: DataFrame, table: str, keys: list[str]) -> DataF
     return present.select(*keys).join(known, reduce(lambda a, b: a & b, on), "left_anti")
 
 
+def stale_partitions(
+    present: DataFrame, table: str, keys: list[str], within: dict[str, str] | None = None
+) -> DataFrame:
+    """Partitions the catalog knows, all or those ``within`` values, that are not ``present``."""
+    known = registered_partitions(present.sparkSession, table, keys, within)
+    on = [present[key].eqNullSafe(known[key]) for key in keys]
+    return known.join(present, reduce(lambda a, b: a & b, on), "left_anti")
+
+
+@dataclass(frozen=True)
+class Reconciled:
+    """Numbers of partitions that were added to the catalog and dropped from it."""
+
+    added: int
+    dropped: int
+
+
+def reconcile_partitions(
+    present: DataFrame,
+    table: str,
+    keys: list[str],
+    within: dict[str, str] | None = None,
+    location: str | None = None,
+    allow_empty: bool = False,
+) -> Reconciled:
+    """Make the catalog list exactly the ``present`` partitions, all or those ``within`` values.
+
+    The difference is taken both ways: what is stored but not listed is added, what is
+    listed but no longer stored is dropped, additions first. Dropping concerns the catalog
+    only, the files of an external table stay. With nothing present, which would drop all,
+    this raises unless ``allow_empty``.
+    """
+    # both looks at the partitions see the same
+    present = materialize(present.select(*keys), "present-partitions")
+    for key, value in (within or {}).items():
+        other = present.where(~F.col(key).eqNullSafe(F.lit(value)))
+        if not other.isEmpty():
+            raise ValueError(f"partitions outside of {key} = {value} are present")
+    if not allow_empty and present.isEmpty():
+        raise ValueError(f"no partitions are present; those of {table} are kept")
+    known = registered_partitions(present.sparkSession, table, keys, within)
+    on = [present[key].eqNullSafe(known[key]) for key in keys]
+    missing = present.join(known, reduce(lambda a, b: a & b, on), "left_anti")
+    stale = stale_partitions(present, table, keys, within)
+    added = register_partitions(missing, table, keys, location)
+    return Reconciled(added, drop_partitions(stale, table, keys))
+
+
+def drop_partitions(stale: DataFrame, table: str, keys: list[str]) -> int:
+    """Take partitions out of the catalog, in batches; their files stay."""
+    dropped = 0
+    for batch in batched(stale.select(*keys).toLocalIterator(), STATEMENT_SIZE):
+        parts = ", ".join(_partition(row.asDict(), None) for row in batch)
+        stale.sparkSession.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+        dropped += len(batch)
+    return dropped
+
+
+def relocate_partitions(rows: DataFrame, table: str, keys: list[str], location: str) -> int:
+    """Point partitions that the catalog knows to their folders under ``location``."""
+    moved = 0
+    for row in rows.select(*keys).toLocalIterator():
+        values = row.asDict()
+        spec, path = _partition(values, None), _path(values)
+        rows.sparkSession.sql(
+            f"ALTER TABLE {table} {spec} SET LOCATION {_text(f'{location}/{path}')}"
+        )
+        moved += 1
+    return moved
+
+
 def register_partitions(
     missing: DataFrame, table: str, keys: list[str], location: str | None = None
 ) -> int:
@@ -113,8 +186,11 @@ def _partition(values: dict[str, str], location: str | None) -> str:
     spec = ", ".join(f"{key} = {_text(value)}" for key, value in values.items())
     if location is None:
         return f"PARTITION ({spec})"
-    path = "/".join(f"{key}={_path_text(value)}" for key, value in values.items())
-    return f"PARTITION ({spec}) LOCATION {_text(f'{location}/{path}')}"
+    return f"PARTITION ({spec}) LOCATION {_text(f'{location}/{_path(values)}')}"
+
+
+def _path(values: dict[str, str]) -> str:
+    return "/".join(f"{key}={_path_text(value)}" for key, value in values.items())
 
 
 def _text(value: str | None) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from martkit.functions.times import HourWindow
 from martkit.schemas import ENVELOPE, FETCHED
 from martkit.sources.batches import frames
+from martkit.sources.polite import Retry, polite
 
 # ``Connect`` runs once per task with the secret and gives a client that turns
 # a page number into the page body; a connection is thus shared by a task.
@@ -32,10 +33,16 @@ def page_frame(spark: SparkSession, total_pages: int, parallelism: int | None =
 
 
 def fetch_pages(
-    pages: DataFrame, connect: Connect, secret: object = None, on_error: str = "raise"
+    pages: DataFrame,
+    connect: Connect,
+    secret: object = None,
+    on_error: str = "raise",
+    retry: Retry | None = None,
 ) -> DataFrame:
     """Fetch the body of every page on the executors.
 
+    With ``retry`` a call that raises is made again before the page counts as failed.
+
     ``on_error="empty"`` gives a failing page no body but the ``error``, which
     :func:`bad_pages` then lists; ``"raise"`` fails the task, which Spark
     retries.
@@ -53,7 +60,7 @@ def fetch_pages(
             return None, f"{type(error).__name__}: {error}"[:1000]
 
     def fetch(batches):
-        client = connect(shared.value)
+        client = polite(connect(shared.value), retry)
         for batch in batches:
             fetched = ((page, *body(client, page)) for page in batch["page"].tolist())
             yield from frames(fetched, FETCHED.names)

@@ -184,3 +184,41 @@ def test_all_levels_share_one_broadcast(spark):
     located.collect()
     ran = tree(located).split("== Initial Plan ==")[0]
     assert ran.count("BroadcastHashJoin") - ran.count("ReusedExchange") == 1
+
+
+def brute_force_box(lat, lon, boxes):
+    def inside(south, north, west, east):
+        within = west <= lon <= east if west <= east else lon >= west or lon <= east
+        return south <= lat <= north and within
+
+    def area(south, north, west, east):
+        return (north - south) * ((east - west) % 360)
+
+    hits = [(area(*b), i) for i, b in enumerate(boxes) if inside(*b)]
+    return [i for _, i in sorted(hits)]
+
+
+def test_boxes_across_the_date_line(spark):
+    boxes = [
+        (-20.0, 10.0, 170.0, -170.0), (-90.0, 90.0, 100.0, -100.0), (-5.0, 5.0, 179.5, -179.5),
+        (0.0, 20.0, -180.0, -175.0), (0.0, 20.0, 175.0, 180.0), (-90.0, 90.0, 10.0, -10.0),
+        (0.0, 1.0, 180.0, -180.0), (-30.0, 30.0, 150.0, 180.0),
+    ]
+    places = spark.createDataFrame(
+        [(i, *b) for i, b in enumerate(boxes)], "id int, south double, north double, west double, east double"
+    )
+    spots = [
+        (lat, lon)
+        for lat in (-90.0, -5.0, 0.0, 0.5, 9.0, 25.0)
+        for lon in (-180.0, -179.6, -179.5, -176.0, -170.0, -99.0, -10.0, 0.0, 10.0, 120.0, 172.0, 179.9, 180.0)
+    ]
+    points = spark.createDataFrame(spots, "lat double, lon double")
+    found = locate(points, places, "id", ["id"], date_line=True)
+    expected = {(lat, lon): (brute_force_box(lat, lon, boxes) or [None])[0] for lat, lon in spots}
+    assert {(r.lat, r.lon): r.id for r in found.collect()} == expected
+    every = containing_boxes(points, places, ["id"], date_line=True)
+    listed = sorted((r.lat, r.lon, r.id) for r in every.collect())
+    assert listed == sorted((*p, i) for p in spots for i in brute_force_box(*p, boxes))
+    # without the option such boxes hold no point, as before
+    plain = {r.id for r in containing_boxes(points, places, ["id"]).collect()}
+    assert plain == {3, 4, 7}

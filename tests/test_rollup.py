@@ -37,3 +37,12 @@ def test_hourly_sums_add_up_to_daily(spark):
     total = rows.groupBy().sum("sales_jpy").first()[0]
     for frame in (sales_hourly(rows), sales_daily(rows)):
         assert frame.groupBy().sum(TOTAL).first()[0] == pytest.approx(total, rel=1e-9)
+
+
+@pytest.mark.parametrize("rollup", [sales_hourly, sales_daily])
+def test_totals_do_not_depend_on_the_order(spark, rollup):
+    rows = mart_rows(spark, ["1"]).drop("sales_jpy").crossJoin(spark.range(3000))
+    mart = rows.selectExpr("*", "case id % 3 when 0 then 0.1d when 1 then 1e15d else -1e15d end sales_jpy")
+    for parts in (1, 7):
+        (row,) = rollup(mart.repartition(parts)).collect()
+        assert row[TOTAL] == 100.0

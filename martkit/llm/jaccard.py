@@ -4,14 +4,15 @@ Texts with equal sets are one node. The join runs through regions of the metric
 
 1. Regions of single shingles. In one order of all shingles (frequent ones last and by
    frequency, others by hash) a set is filed under its first n - ceil(t n) + 1 shingles; two sets with
-   similarity t or more meet in one of these regions at least. The empty set is a pivot
-   too: distances to it bound the ratio of sizes of two linked sets.
+   similarity t or more meet in one of these regions at least.
 2. A region of few nodes is joined directly. The number of regions that two sets share
    bounds their overlap from above, so few pairs that are not linked go further.
-3. A region of many nodes is split by pivots from its own nodes. All nodes near enough to
-   a pivot form its cell and are connected through it. Between nodes of different cells
-   only those are compared whose distances to the first pivot differ by the radius or
-   less (triangle inequality), against ever more pivots, until none is left.
+3. A region of many nodes has a pivot of its own, its centre: the node with the fewest rare
+   shingles. Nodes near enough to it are connected through it, so a group of copies with
+   edits becomes a star. Nodes of different components go on: the region is parted into
+   cells by size (distances to the empty set), nodes are replicated into the cells next
+   to theirs, and pairs of a cell are taken if their distances to the centre differ by the
+   radius or less (triangle inequality) and their sketches leave room for the overlap.
 
 Pairs that remain are compared shingle by shingle, so links are exact; only links between
 nodes that are connected already may go unlisted. Shingles are 64-bit hashes.
@@ -25,22 +26,18 @@ An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from martkit.llm.common import bound_batches, once, quoted
+from martkit.llm.common import bound_batches, quoted
 from martkit.llm.fingerprints import mixed
 from martkit.llm.graph import components
 from martkit.operators.joins import lookup_join
 from martkit.session import materialize
 
-# Words whose hashes a worker remembers.
-REMEMBERED = 400_000
 # A shingle is frequent from so many documents on, or from one MOST_FREQUENT-th of all
 # shingles, so that the list of frequent ones has a fixed bound. Tasks report what they
 # see twice or more; the order decides on speed alone, so that is near enough.
@@ -51,40 +48,73 @@ DIRECT = 64
 SALTS = 64
 # Shingles gathered before frequent ones are counted.
 GATHERED = 4_000_000
-# Pivots of a round are so many times those of the round before.
-MORE_PIVOTS = 16
+# The columns of a sketch.
+SKETCH = [f"s{i}" for i in range(8)]
+# Rows of a large region that one task holds against those replicated into its cells.
+CELL_ROWS = 4096
 LEAST_ID = -(1 << 63)
 
 
+# Bytes of words that are hashed together, and of a word that is hashed by itself.
+LOT, LONG_WORD = 1 << 20, 4096
+
+
 class ShingleSets:
-    """The set of a text as a sorted array of 64-bit hashes."""
+    """The set of a text as a sorted array of 64-bit hashes.
+
+    A word's hash is a polynomial in its letters, each of which stands for a random number;
+    all words of a text are hashed by the same few array operations.
+    """
 
     def __init__(self, width: int):
         self.width = width
-        self.seen: dict[bytes, int] = {}
+        codes = np.arange(256)
+        # A-Z count as a-z
+        letters = np.where((codes >= 65) & (codes <= 90), codes + 32, codes).astype(np.uint64)
+        self.letter = mixed(letters, 0)
+        self.in_word = ~np.isin(codes, [32, *range(9, 14)])
+        base = np.full(LONG_WORD, 0x9E3779B97F4A7C13, dtype=np.uint64)
+        base[0] = 1
+        self.power = np.cumprod(base)
+
+    def words(self, text: bytes) -> np.ndarray:
+        """The hashes of all words, in order."""
+        raw = np.frombuffer(text, dtype=np.uint8)
+        inside = np.zeros(len(raw) + 2, dtype=bool)
+        inside[1:-1] = self.in_word[raw]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        hashes = np.empty(len(starts), dtype=np.uint64)
+        begin, total = 0, np.cumsum(np.minimum(sizes, LONG_WORD))
+        while begin < len(starts):
+            done = total[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(total, done + LOT, "right")))
+            hashes[begin:end] = self._lot(raw, starts[begin:end], sizes[begin:end])
+            begin = end
+        for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+            from xxhash import xxh3_64_intdigest
+
+            hashes[i] = xxh3_64_intdigest(text[starts[i] : starts[i] + sizes[i]].lower())
+        return mixed(hashes + sizes.astype(np.uint64), 1)
+
+    def _lot(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        sizes = np.minimum(sizes, LONG_WORD)
+        before = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) - np.repeat(before, sizes)
+        letters = self.letter[raw[np.repeat(starts, sizes) + place]]
+        return np.add.reduceat(letters * self.power[place], before)
 
     def __call__(self, text: bytes | None) -> np.ndarray:
-        from xxhash import xxh3_64_intdigest
-
-        words = (text or b"").lower().split()
-        seen = self.seen
-        missing = [w for w in set(words) if w not in seen]
-        if missing:
-            if len(seen) > REMEMBERED:
-                seen.clear()
-                missing = list(set(words))
-            seen.update((w, xxh3_64_intdigest(w)) for w in missing)
-        hashes = np.fromiter([seen[w] for w in words], dtype=np.uint64, count=len(words))
+        hashes = self.words(text or b"")
         width = min(self.width, len(hashes))
         runs = len(hashes) - width + 1 if width else 0
         total = np.full(runs, width, dtype=np.uint64)
         for i in range(width):
             total = mixed(total + hashes[i : i + runs], i + 2)
-        return np.unique(total)
-
-
-def shingle_sets(width: int) -> ShingleSets:
-    return once(f"shingle-sets {width}", lambda: ShingleSets(width))
+        total.sort()
+        if len(total) > 1:
+            total = total[np.concatenate([[True], total[1:] != total[:-1]])]
+        return total
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -93,6 +123,23 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
+def sketch_of(shingles: np.ndarray) -> np.ndarray:
+    """Of each of 512 classes of shingles whether the set holds an odd number, as 64-bit numbers."""
+    counts = np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=512)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def least_different(one: str, other: str) -> Column:
+    """The least number of shingles that only one of two sets holds, by their sketches.
+
+    A class that one of them holds an odd and the other an even number of has one at least.
+    """
+    total = F.lit(0)
+    for name in SKETCH:
+        total = total + F.bit_count(F.col(one.format(name)).bitwiseXOR(F.col(other.format(name))))
+    return total
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n + (-n * percent // 100) + 1 if n else 0
 
@@ -122,8 +169,9 @@ class JaccardJoin:
             F.min(F.struct("key", "tie")).alias("first"),
             F.min(real_id()).alias("least"),
             F.first("n").alias("n"),
+            *[F.first(name).alias(name) for name in SKETCH],
         )
-        self.nodes = self.nodes.select("node", "n", "least", "first.*")
+        self.nodes = self.nodes.select("node", "n", *SKETCH, "least", "first.*")
         self.nodes = materialize(self.nodes, "jaccard-nodes")
 
     def _members(self) -> DataFrame:
@@ -131,31 +179,34 @@ class JaccardJoin:
         width = self.width
 
         def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sets, known, held, size = shingle_sets(width), set(), [], 0
+            sets, known, held, size = ShingleSets(width), set(), [], 0
 
             def rows(counted: bool, *columns) -> pa.RecordBatch:
                 arrays = [pa.array(np.asarray(c, dtype=np.int64)) for c in columns]
                 flags = pa.array(np.full(len(columns[0]), counted))
                 return pa.RecordBatch.from_arrays(
-                    [flags, *arrays], names=["counted", "key", "tie", "node", "n"]
+                    [flags, *arrays], names=["counted", "key", "tie", "node", "n", *SKETCH]
                 )
 
             def frequent() -> pa.RecordBatch:
                 found, times = np.unique(np.concatenate(held), return_counts=True)
                 found, times = signed(found[times > 1]), times[times > 1]
-                return rows(True, np.zeros(len(found)), np.zeros(len(found)), found, times)
+                none = np.zeros(len(found))
+                return rows(True, none, none, found, times, *[none] * len(SKETCH))
 
             for batch in batches:
-                nodes, ns = [], []
+                nodes, ns, sketches = [], [], []
                 for body in batch.column(2).cast(pa.binary()).to_pylist():
                     shingles = sets(body)
                     nodes.append(node_of(shingles))
                     ns.append(len(shingles))
+                    sketches.append(sketch_of(shingles))
                     if ns[-1] and nodes[-1] not in known:
                         known.add(nodes[-1])
                         held.append(shingles)
                         size += len(held[-1])
-                yield rows(False, batch.column(0), batch.column(1), nodes, ns)
+                bits = np.array(sketches, dtype=np.int64).reshape(-1, len(SKETCH)).T
+                yield rows(False, batch.column(0), batch.column(1), nodes, ns, *bits)
                 if size > GATHERED:
                     yield frequent()
                     held, size = [], 0
@@ -163,6 +214,7 @@ class JaccardJoin:
                 yield frequent()
 
         schema = "counted boolean, key bigint, tie bigint, node bigint, n bigint"
+        schema = ", ".join([schema, *[f"{name} bigint" for name in SKETCH]])
         every = materialize(self.docs.mapInArrow(profile, schema), "jaccard-profiles")
         members = every.where("not counted").drop("counted")
         total = members.agg(F.sum("n")).first()[0] or 0
@@ -181,7 +233,7 @@ class JaccardJoin:
         percent, width, frequent = self.percent, self.width, self.frequent
 
         def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sets, known = shingle_sets(width), set()
+            sets, known = ShingleSets(width), set()
             often, times = frequent.value
             for batch in batches:
                 out = []
@@ -326,7 +378,16 @@ class JaccardJoin:
         # the set whose filed shingles end first has no more than these beyond
         most = shared + F.greatest(after("n_a"), after("n_b"))
         needed = (F.col("n_a") + F.col("n_b")) * self.percent
-        return pairs.where(most * (100 + self.percent) >= needed).select("a", "b")
+        pairs = pairs.where(most * (100 + self.percent) >= needed).select("a", "b", "n_a", "n_b")
+        for side in ("a", "b"):
+            sketches = [F.col(c).alias(f"{c}_{side}") for c in SKETCH]
+            pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *sketches), side)
+        return pairs.where(self._alike("{}_a", "{}_b", F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+    def _alike(self, one: str, other: str, sizes: Column) -> Column:
+        """Whether sketches leave room for a link of sets with so many shingles together."""
+        different = least_different(one, other) * (100 + self.percent)
+        return different <= sizes * (100 - self.percent)
 
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """(a, b, distance) of the pairs, from whole sets."""
@@ -341,7 +402,7 @@ class JaccardJoin:
 
         def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # a task sends the set of repeated rows once; what is left of copies does no harm
-            sets, known = shingle_sets(width), set()
+            sets, known = ShingleSets(width), set()
             for batch in batches:
                 nodes = batch.column(0).to_pylist()
                 fresh = []
@@ -379,16 +440,15 @@ class JaccardJoin:
         tested = both.mapInArrow(compare, "a bigint, b bigint, common bigint, either bigint")
         return materialize(tested, "jaccard-tested")
 
-    def _linked(self, tested: list[DataFrame]) -> DataFrame:
-        every = reduce(DataFrame.unionByName, tested)
-        return every.where(F.col("common") * 100 >= F.col("either") * self.percent).select("a", "b")
+    def _linked(self, tested: DataFrame) -> DataFrame:
+        return tested.where(F.col("common") * 100 >= F.col("either") * self.percent).select("a", "b")
 
     def links(self) -> DataFrame:
         """(node, component) of the nodes that are linked with any other.
 
-        First each node is compared with the first pivot of its large regions and with one
-        partner of its small ones, which connects most copies; after that only nodes that
-        are not connected.
+        First each node is compared with the centres of its large regions and with one
+        partner of its small ones, which connects most copies; after that only nodes of
+        different components.
         """
         regions = self._regions()
         large = regions.where("large").select(
@@ -397,81 +457,122 @@ class JaccardJoin:
             F.col("n_a").alias("n"),
             F.col("n_b").alias("place"),
         )
-        # pivots are taken in the order of a hash
-        large = large.distinct().withColumn("rank", F.xxhash64("node", F.lit(3)))
+        large = large.distinct().join(self.nodes.select("node", *SKETCH), "node")
         large = materialize(large, "jaccard-large")
         direct = materialize(self._direct_pairs(regions, large), "jaccard-direct")
 
-        start = {"cell": F.col("node"), "d": F.lit(None).cast("double")}
-        chosen, pairs = self._pivot_pairs(large.withColumns(start), 1)
-        firsts = chosen.select("region", F.col("pivot").alias("first"))
+        # the centre has the fewest rare shingles, so copies with edits are all near it
+        centre = F.min(F.struct("place", F.xxhash64("node").alias("tie"), "node", "n", *SKETCH))
+        centres = large.groupBy("region").agg(centre.alias("c")).select(
+            "region", *[F.col(f"c.{c}").alias(f"other_{c}") for c in ("node", "n", "place", *SKETCH)]
+        )
+        centres = materialize(centres, "jaccard-centres")
+        near = lookup_join(large, centres, ["region"], "inner").where(self._possible())
+        near = near.where("node <> other_node").select(*self._pair())
         one = direct.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        tested = [self._verify(pairs.unionByName(one).distinct())]
+        tested = self._verify(near.unionByName(one).distinct())
         named = components(self._linked(tested))
 
-        rest = direct
+        rest = self._apart(direct, named)
+        across = self._across(large, named, centres, tested)
+        again = self._verify(rest.unionByName(across).distinct())
+
+        # what is linked now are components
+        edges = self._linked(again)
+        for side in ("a", "b"):
+            cells = named.select(F.col("node").alias(side), F.col("component").alias("cell"))
+            edges = edges.join(cells, side, "left").withColumn(side, F.coalesce("cell", side))
+            edges = edges.drop("cell")
+        joined = components(edges)
+        final = joined.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        old = named.join(final, "component", "left")
+        old = old.select("node", F.coalesce("to", "component").alias("component"))
+        new = joined.join(named.select("node"), "node", "left_anti")
+        return materialize(old.unionByName(new), "jaccard-components")
+
+    def _apart(self, pairs: DataFrame, named: DataFrame) -> DataFrame:
+        """The pairs whose nodes are in different components."""
         for side in ("a", "b"):
             cells = named.select(F.col("node").alias(side), F.col("component").alias(f"cell_{side}"))
-            rest = rest.join(cells, side, "left")
+            pairs = pairs.join(cells, side, "left")
         apart = F.coalesce("cell_a", "a") != F.coalesce("cell_b", "b")
-        rest = rest.where(apart).select("a", "b")
-
-        pivots = 1
-        while True:
-            pivots *= MORE_PIVOTS
-            large = self._open_rows(large, named, chosen, firsts, tested)
-            if large.isEmpty():
-                if rest is None:
-                    return named
-                pairs = rest
-            else:
-                chosen, pairs = self._pivot_pairs(large, pivots)
-                pairs = pairs if rest is None else pairs.unionByName(rest).distinct()
-            rest = None
-            tested.append(self._verify(pairs))
-            named = components(self._linked(tested))
-
-    def _open_rows(self, large, named, chosen, firsts, tested) -> DataFrame:
-        """Rows behind the last pivots of regions that are not connected as a whole.
-
-        ``cell`` is the component of a node and ``d`` its distance to the first pivot.
+        return pairs.where(apart).select("a", "b")
+
+    def _possible(self) -> Column:
+        """Whether a row and another of its region (``other_``) may be near enough.
+
+        Sizes bound the similarity (the empty set is a pivot of all sets); in the first
+        region that two sets share nothing before it is common; and sketches bound what is.
+        """
+        n, other = F.col("n"), F.col("other_n")
+        needed = (n + other) * self.percent
+        size = F.least(n, other) * 100 >= F.greatest(n, other) * self.percent
+        most = F.least(n - F.col("place"), other - F.col("other_place"))
+        alike = self._alike("{}", "other_{}", n + other)
+        return size & (most * (100 + self.percent) >= needed) & alike
+
+    def _pair(self) -> list[Column]:
+        sides = ("node", "other_node")
+        return [F.least(*sides).alias("a"), F.greatest(*sides).alias("b")]
+
+    def _across(
+        self, large: DataFrame, named: DataFrame, centres: DataFrame, tested: DataFrame
+    ) -> DataFrame:
+        """Pairs of large regions whose nodes are in different components.
+
+        A region is parted into cells: by size, as the empty set is a pivot to which distance
+        is a matter of size alone. Nodes are replicated into the neighbouring cells, which a
+        partner may lie in; all pairs of a cell whose distances to the region's centre are
+        within the radius of one another, and that are possible, are taken. Of two nodes the
+        one with fewer rare shingles before the region's own has to have so few that it
+        could meet a set as large as itself, so only such nodes are replicated.
         """
-        rows = large.drop("cell", "d").join(named, "node", "left")
+        rows = large.join(named, "node", "left")
         rows = rows.withColumn("cell", F.coalesce("component", "node")).drop("component")
-        cells = rows.groupBy("region").agg(F.min("cell").alias("x"), F.max("cell").alias("y"))
-        rows = rows.join(cells.where("x < y").select("region"), "region", "left_semi")
-        done = chosen.groupBy("region").agg(F.max("pivot_rank").alias("done"))
-        rows = rows.join(done, "region").where("rank > done").drop("done")
-        known = reduce(DataFrame.unionByName, tested)
-        known = known.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
-        turned = known.select(F.col("b").alias("node"), F.col("a").alias("first"), "d")
-        known = known.select(F.col("a").alias("node"), F.col("b").alias("first"), "d")
-        known = known.unionByName(turned).distinct()
-        rows = rows.join(firsts, "region").join(known, ["node", "first"], "left").drop("first")
-        return materialize(rows, "jaccard-open")
-
-    def _pivot_pairs(self, rows: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
-        """The next pivots of each region, and the pairs of nodes to compare with them."""
-        order = Window.partitionBy("region").orderBy("rank", "node")
-        chosen = rows.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= pivots)
-        chosen = chosen.select(
-            "region",
-            F.col("node").alias("pivot"),
-            *[F.col(c).alias(f"pivot_{c}") for c in ("n", "place", "rank", "cell", "d")],
+        seen = rows.groupBy("region").agg(
+            F.min("cell").alias("x"), F.max("cell").alias("y"), F.count(F.lit(1)).alias("held")
         )
-        chosen = materialize(chosen, "jaccard-pivots")
-        size = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * self.percent
-        # in the first region that two sets share, nothing before it is common
-        most = F.least(F.col("n") - F.col("place"), F.col("pivot_n") - F.col("pivot_place"))
-        reach = most * (100 + self.percent) >= (F.col("n") + F.col("pivot_n")) * self.percent
-        radius = 1 - self.percent / 100 + 1e-9
-        window = F.coalesce(F.abs(F.col("d") - F.col("pivot_d")) <= radius, F.lit(True))
-        later = (F.col("rank") > F.col("pivot_rank")) & (F.col("cell") != F.col("pivot_cell"))
-        pairs = rows.join(chosen, "region").where(size & reach & window & later)
-        pairs = pairs.select(
-            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+        salts = F.ceil(F.col("held") / CELL_ROWS).cast("int").alias("salts")
+        several = seen.where("x < y").select("region", salts)
+        several = materialize(several, "jaccard-several")
+        rows = lookup_join(rows, several, ["region"], "inner")
+
+        known = tested.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
+        turned = known.select(F.col("b").alias("node"), F.col("a").alias("centre"), "d")
+        known = known.select(F.col("a").alias("node"), F.col("b").alias("centre"), "d")
+        known = known.unionByName(turned)
+        rows = lookup_join(
+            rows, centres.select("region", F.col("other_node").alias("centre")), ["region"], "inner"
         )
-        return chosen, pairs.distinct()
+        rows = rows.join(known, ["node", "centre"], "left")
+        # what was compared with the centre is done
+        rows = rows.where(F.col("node") != F.col("centre")).drop("centre")
+        step = float(np.log(100 / self.percent) * (1 + 1e-6)) if self.percent < 100 else 1e-6
+        rows = rows.withColumns(
+            {
+                "size": F.floor(F.log("n") / step),
+                "strong": (F.col("n") - F.col("place")) * (100 + self.percent)
+                >= F.col("n") * 2 * self.percent,
+            }
+        )
+        rows = materialize(rows, "jaccard-open")
+
+        left = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+        others = ("node", "n", "place", *SKETCH, "cell", "d", "strong")
+        copies = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+        windows = F.explode(F.array(*[F.col("size") + i for i in (-1, 0, 1)]))
+        right = rows.where("strong").select(
+            "region", windows.alias("size"), *[F.col(c).alias(f"other_{c}") for c in others], "salts"
+        )
+        right = right.withColumn("salt", copies).drop("salts")
+        radius = 1 - self.percent / 100 + 1e-9
+        window = F.coalesce(F.abs(F.col("d") - F.col("other_d")) <= radius, F.lit(True))
+        # a pair of strong nodes is taken once
+        once = ~F.col("strong") | (F.col("node") > F.col("other_node"))
+        apart = F.col("cell") != F.col("other_cell")
+        pairs = left.join(right, ["region", "size", "salt"])
+        pairs = pairs.where(apart & once & window & self._possible())
+        return pairs.select(*self._pair()).distinct()
 
 
 def jaccard_components(

@@ -77,7 +77,7 @@ def test_equals_all_pairs(spark, monkeypatch, seed, percent, width, small):
     if small:  # frequent shingles and large regions from a few documents on
         monkeypatch.setattr(jaccard, "FREQUENT", 3)
         monkeypatch.setattr(jaccard, "DIRECT", 2)
-        monkeypatch.setattr(jaccard, "MORE_PIVOTS", 3)
+        monkeypatch.setattr(jaccard, "CELL_ROWS", 7)
     rows = made(seed)
     frame = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in rows], SCHEMA)
     assert found(frame.repartition(5), percent, width) == plain(rows, percent, width)

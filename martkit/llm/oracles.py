@@ -154,5 +154,57 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f.digest AS f
   f.digest = root AS verified
 FROM folded f, (SELECT digest AS root FROM top WHERE n = 1)
 WHERE level = tall + (SELECT max(level) FROM top)
+""",
+    "op5_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * common >= 85 * (x.n + y.n - common)
+), either AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT reach.doc_id, either.b FROM reach JOIN either ON reach.other = either.a
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+""",
+    "op8_embedding_itq": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), sound AS (
+  SELECT vec_id, v FROM vectors
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(v, lambda x: x * x)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+    ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), either AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM vectors
+  UNION
+  SELECT reach.vec_id, either.b FROM reach JOIN either ON reach.other = either.a
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+JOIN (SELECT vec_id, count(a) AS n_links FROM vectors LEFT JOIN either ON vec_id = a
+  GROUP BY vec_id) USING (vec_id)
 """,
 }

@@ -116,3 +116,38 @@ def test_codes_are_balanced_and_keep_angles():
 def test_unit_vector_of_extremes():
     assert unit_vector([1e300, 1e300]).tolist() == pytest.approx([0.5**0.5] * 2)
     assert unit_vector([5e-324, 0.0]).tolist() == [1.0, 0.0]
+
+
+def planted(dimensions, seed=11):
+    """Unrelated vectors, and groups of 2 to 6 whose members lie at cosines of about 0.9 to 0.95."""
+    draw = np.random.default_rng(seed)
+    rows = [draw.standard_normal(dimensions) for _ in range(1500)]
+    for _ in range(250):
+        centre = draw.standard_normal(dimensions)
+        centre /= np.linalg.norm(centre)
+        # two members at cosine c of their centre are at about c * c of one another
+        cosine = np.sqrt(draw.uniform(0.9, 0.95))
+        for _ in range(draw.integers(2, 7)):
+            side = draw.standard_normal(dimensions)
+            side -= side @ centre * centre
+            side /= np.linalg.norm(side)
+            rows.append(cosine * centre + np.sqrt(1 - cosine**2) * side)
+    return np.array(rows)
+
+
+@pytest.mark.parametrize("dimensions", [32, 64, 256])
+def test_recall_of_planted_pairs(spark, dimensions):
+    rows = planted(dimensions)
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(rows)], "vec_id bigint, embedding array<double>"
+    )
+    found = {r["vec_id"]: r["n_links"] for r in link_embeddings(frame).collect()}
+    expected = near.sum(axis=1)
+    # none is made up, so the counts say how many were found
+    assert all(found[i] <= expected[i] for i in range(len(rows)))
+    recall = sum(found.values()) / expected.sum()
+    print(f"recall at {dimensions} dimensions: {recall:.4f} of {expected.sum() // 2} pairs")
+    assert expected.sum() > 600 and recall >= 0.97

@@ -1,10 +1,12 @@
+import math
 import zlib
 
 import pytest
+import xxhash
 from llm_cases import SCHEMA, awkward, awkward_rows, empty
 from pyspark.sql import functions as F
 
-from martkit.llm.sharding import feistel, place_documents, shard_rows, write_shards
+from martkit.llm.sharding import ROUNDS, feistel, place_documents, shard_rows, write_shards
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 10, 16, 17, 99, 1000, 4097])
@@ -63,3 +65,40 @@ def test_empty_table(spark):
 def test_no_shards(spark):
     with pytest.raises(ValueError):
         shard_rows(empty(spark), 0)
+
+
+def spark_hash(*values):
+    """Spark's 64-bit hash of (number, byte width) pairs: each seeds the next."""
+    seed = 42
+    for number, width in values:
+        seed = xxhash.xxh64_intdigest(number.to_bytes(width, "little", signed=True), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_feistel(number, rows, seed):
+    a = math.isqrt(rows - 1) + 1
+    b = -(-rows // a)
+    value = number
+    while True:
+        left, right = value % a, value // a
+        for turn in range(ROUNDS):
+            left = (left + spark_hash((right, 8), (turn, 4), (seed, 4)) % a) % a
+            right = (right + spark_hash((left, 8), (turn, 4), (~seed, 4)) % b) % b
+        value = left + right * a
+        if value < rows:
+            return value
+
+
+@pytest.mark.parametrize("rows", [1, 2, 7, 97, 1000])
+def test_equals_a_plain_walk(spark, rows):
+    found = spark.range(rows).select("id", feistel(F.col("id"), rows, 42).alias("position")).collect()
+    assert {r["id"]: r["position"] for r in found} == {i: plain_feistel(i, rows, 42) for i in range(rows)}
+
+
+def test_documents_lie_where_the_walk_puts_them(spark):
+    docs = spark.range(300).selectExpr("id as doc_id", "concat('text ', id % 250) as text")
+    placed = shard_rows(docs, shards=8).collect()
+    assert sorted(r["row_number"] for r in placed) == list(range(300))
+    for r in placed:
+        position = plain_feistel(r["row_number"], 300, 42)
+        assert (r["shard"], r["slot"]) == (position % 8, position // 8)

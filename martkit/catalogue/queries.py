@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ from martkit.operators.mart import (
     unmatched_sales,
 )
 from martkit.operators.quality import duplicate_keys, key_counts, unknown_scales
-from martkit.operators.rollup import sales_daily, sales_hourly
+from martkit.operators.rollup import sales_daily, sales_daily_by_date, sales_hourly
 from martkit.operators.versioned import COMMIT, VersionedTable, live_rows
 from martkit.plans.jobs import mart_day
 from martkit.schemas import MART, MART_PARTITIONS
@@ -339,11 +338,16 @@ def stored_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_daily_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The roll-up of one retrieval date of the stored mart, for each of its dates"""
+    """The roll-up of each retrieval date of the stored mart
+
+    The first date is asked for by itself, which reads its partitions alone; all others
+    come from one grouped scan, so the plan does not grow with the dates.
+    """
     stored = _exact(_stored_mart(spark, sf_dir)[1])
-    days = [r[0] for r in stored.select("retrieval_date").distinct().orderBy(1).collect()]
-    each = [sales_daily(stored, day).withColumn("day", F.lit(day)) for day in days]
-    return _as_double(reduce(DataFrame.unionByName, each))
+    first = stored.agg(F.min("retrieval_date")).first()[0]
+    alone = sales_daily(stored, first).withColumn("day", F.lit(first))
+    others = sales_daily_by_date(stored.where(F.col("retrieval_date") > F.lit(first)))
+    return _as_double(alone.unionByName(others.withColumnRenamed("retrieval_date", "day")))
 
 
 # -- quality -----------------------------------------------------------------

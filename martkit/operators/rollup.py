@@ -34,6 +34,11 @@ def sales_daily(mart: DataFrame, day: str | None = None, total: str = TOTAL) ->
     return _of_day(mart, day).groupBy("ymd", "store_id").agg(_sum(total))
 
 
+def sales_daily_by_date(mart: DataFrame, total: str = TOTAL) -> DataFrame:
+    """Yen per retrieval date, local day and store: :func:`sales_daily` of every date in one scan."""
+    return mart.groupBy("retrieval_date", "ymd", "store_id").agg(_sum(total))
+
+
 def _of_day(mart: DataFrame, day: str | None) -> DataFrame:
     return mart if day is None else mart.where(F.col("retrieval_date") == day)
 

@@ -16,20 +16,20 @@ from martkit.operators.geo import (
     response_box,
 )
 
-SAMPLE = "lat=35.5487429714954&lon=139.81602098644987"
+SAMPLE = "lat=48.20849&lon=16.37208"
 RESPONSE = {
-    "place_id": 385772009,
+    "place_id": 90017,
     "licence": "open",
     "osm_type": "relation",
-    "osm_id": 1758947,
-    "lat": "35.561206",
-    "lon": "139.715843",
-    "place_rank": 14,
-    "importance": 0.5312781068643009,
-    "name": "大田区",
-    "display_name": "大田区, 東京都, 日本",
-    "address": {"city": "大田区", "country": "日本", "country_code": "jp"},
-    "boundingbox": ["35.4816556", "35.6130909", "139.6528251", "139.8578153"],
+    "osm_id": 5501,
+    "lat": "48.2083",
+    "lon": "16.3725",
+    "place_rank": 12,
+    "importance": 0.61,
+    "name": "Wien",
+    "display_name": "Wien, Österreich",
+    "address": {"city": "Wien", "country": "Österreich", "country_code": "at"},
+    "boundingbox": ["48.1179", "48.3226", "16.1818", "16.5775"],
 }
 
 
@@ -38,7 +38,7 @@ def test_f15_coordinates(spark):
     df = spark.createDataFrame([(text,) for text in texts], "latlon string")
     found = [(row.lat, row.lon) for row in parse_latlon(df).collect()]
     assert found == [
-        (35.5487429714954, 139.81602098644987),
+        (48.20849, 16.37208),
         (None, None), (-2.0, 10.0), (None, None), (None, None), (1.0, 3.0), (None, None),
     ]
 
@@ -87,27 +87,27 @@ def test_g2_t17_t18_responses(spark):
         (200, False), (200, True), (404, False), (500, True), (None, False),
     ]
     place = parsed[0].place
-    assert (place.place_id, place.name, place.address.country_code) == (385772009, "大田区", "jp")
-    assert (parsed[0].south, parsed[0].east) == (35.4816556, 139.8578153)
+    assert (place.place_id, place.name, place.address.country_code) == (90017, "Wien", "at")
+    assert (parsed[0].south, parsed[0].east) == (48.1179, 16.5775)
     assert parsed[1].place is None and parsed[2].place.place_id is None
 
 
 BOXES = "id int, name string, south double, north double, west double, east double"
-OTA = (1, "大田区", 35.4816556, 35.6130909, 139.6528251, 139.8578153)
-TOKYO = (2, "東京都", 20.0, 36.0, 136.0, 154.0)
+WIEN = (1, "Wien", 48.1179, 48.3226, 16.1818, 16.5775)
+AROUND = (2, "Österreich", 46.0, 49.0, 9.0, 17.5)
 
 SMALL = {"max_rows": 0}
 
 
 @pytest.mark.parametrize("bounds", [{}, SMALL])
 def test_g3_smallest_box_wins(spark, bounds):
-    places = spark.createDataFrame([TOKYO, OTA], BOXES)
-    texts = [(SAMPLE,), ("lat=35&lon=139",), ("lat=0&lon=0",), ("lat=abc&lon=",), ("lat=99&lon=0",)]
+    places = spark.createDataFrame([AROUND, WIEN], BOXES)
+    texts = [(SAMPLE,), ("lat=47&lon=13",), ("lat=0&lon=0",), ("lat=abc&lon=",), ("lat=99&lon=0",)]
     points = parse_latlon(spark.createDataFrame(texts, "latlon string"))
     found = locate(points, places, "id", ["id", "name"], **bounds)
     assert found.columns == ["latlon", "lat", "lon", "id", "name"]
     assert {row.latlon: row.id for row in found.collect()} == {
-        SAMPLE: 1, "lat=35&lon=139": 2, "lat=0&lon=0": None, "lat=abc&lon=": None, "lat=99&lon=0": None,
+        SAMPLE: 1, "lat=47&lon=13": 2, "lat=0&lon=0": None, "lat=abc&lon=": None, "lat=99&lon=0": None,
     }
 
 
@@ -130,7 +130,7 @@ def scatter(seed):
     for i, box in enumerate(boxes[2:80]):  # corners and middles
         points.append((200 + i, min(box[3], 90.0), box[4]))
         points.append((300 + i, (box[2] + box[3]) / 2, (box[4] + box[5]) / 2))
-    points += [(i, 35.0, 139.0) for i in range(1000, 1300)]
+    points += [(i, 47.0, 13.0) for i in range(1000, 1300)]
     return boxes, [p for p in points if not abs(p[1]) > 90 and not abs(p[2]) > 180]
 
 
@@ -168,7 +168,7 @@ def test_no_boxes_at_all(spark):
 
 def test_points_pass_without_a_shuffle(spark):
     points = spark.range(1000).select((F.col("id") % 90).cast("double").alias("lat"), F.col("id").cast("double").alias("lon"))
-    places = spark.createDataFrame([TOKYO, OTA], BOXES)
+    places = spark.createDataFrame([AROUND, WIEN], BOXES)
     text = tree(locate(points, places, "id", ["id"]))
     assert "NestedLoop" not in text and "Cartesian" not in text
     # the only exchange besides broadcasts groups the boxes by cell

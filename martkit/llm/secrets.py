@@ -4,13 +4,14 @@ A candidate is a run of LEAST or more key-like characters, also of several parts
 by points, or the value, of SHORTEST or more signs, of an assignment. Its features are
 length, changes between kinds of characters, shares of kinds, how much of it consists of words of
 the corpus' own dictionary, slashes in and around it (paths), and the words and signs
-next to it. The forest is trained on labelled findings: those a caller gives, or those
-that fixed rules are sure of. All but the bounded training sample runs as Spark
+next to it. The forest is trained on labelled findings: those a caller gives, or the
+documented set of :mod:`martkit.llm.findings`, whose labels follow from how a finding was
+made and not from any feature. All but the bounded training sample runs as Spark
 expressions over whole texts.
 
 Null and empty texts have no findings. Places count code points. Repeated rows are
-answered one by one. If there are no findings of both labels to learn from, all findings
-are kept and their score is null. An empty table gives no rows.
+answered one by one. If a caller's labels are all alike, all findings are kept and their
+score is null. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from collections.abc import Callable
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.llm.common import quoted
+from martkit.llm.findings import example_texts
 from martkit.operators.joins import lookup_join
 from martkit.session import materialize
 
@@ -43,6 +45,8 @@ LEAST_DOCS = 2
 LEAST_LETTERS = 3
 # Words of a candidate: runs of letters, parted where the case changes.
 BORDER = r"[^\p{L}]+|(?<=\p{Ll})(?=\p{Lu})|(?<=\p{Lu})(?=\p{Lu}\p{Ll})"
+# Rows of the documented set, and corpus words in them.
+EXAMPLES, EXAMPLE_WORDS = 8000, 256
 # Different labelled findings that the forest is trained on, about so many of each label;
 # each weighs as much as it has copies.
 SAMPLE = 4000
@@ -201,13 +205,15 @@ def add_features(candidates: DataFrame, words: DataFrame) -> DataFrame:
     return candidates.withColumns({name: number[name].cast("double") for name in FEATURES})
 
 
-def sure_label() -> Column:
-    """1 or 0 where fixed rules are sure of a finding, else null."""
-    known = F.col("known_key") == 1
-    assigned = (F.col("assigned") == 1) & (F.col("digits") > 0)
-    plain = (F.col("digits") == 0) & (F.col("capitals") <= 1 / F.col("length"))
-    number = (F.col("digits") + F.col("signs")) == 1
-    return F.when(known | assigned, 1.0).when(plain | number, 0.0)
+def example_findings(
+    spark: SparkSession, words: DataFrame, rows: int = EXAMPLES, seed: int = 42
+) -> DataFrame:
+    """(found, before, after, label) of the documented set, with words of the corpus in it."""
+    some = words.orderBy(F.xxhash64("word", F.lit(seed)), "word").limit(EXAMPLE_WORDS).collect()
+    made = materialize(example_texts(spark, rows, [r["word"] for r in some], seed), "secret-examples")
+    found = find_candidates(made).join(made.select("doc_id", "wanted", "label"), "doc_id")
+    found = found.where(F.col("found") == F.col("wanted"))
+    return found.select("found", "before", "after", "label")
 
 
 def scan_secrets(
@@ -221,16 +227,16 @@ def scan_secrets(
     """(doc_id, start, end, found, score, kept) of every candidate.
 
     ``labelled`` holds findings to learn from: found, before, after, and label (1.0 for a
-    secret). Without it the findings that ``sure_label`` is sure of are taken.
+    secret). Without it those of ``example_findings`` are taken. At most about ``sample``
+    different ones of each label are drawn.
     """
     words = materialize(dictionary(docs, text), "secret-dictionary")
     candidates = materialize(find_candidates(docs, key, text), "secret-candidates")
     findings = materialize(add_features(candidates, words), "secrets")
     if labelled is None:
-        given = findings.withColumn("label", sure_label())
-    else:
-        given = labelled.select("found", "before", "after", "label")
-        given = add_features(materialize(given, "secret-given"), words)
+        labelled = example_findings(docs.sparkSession, words, seed=seed)
+    given = labelled.select("found", "before", "after", "label")
+    given = add_features(materialize(given, "secret-given"), words)
     given = given.where(F.col("label").isin(0.0, 1.0))
     # copies, which no feature parts, are one finding of more weight
     given = given.groupBy("label", *FEATURES).agg(F.count(F.lit(1)).alias("copies"))

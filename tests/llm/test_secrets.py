@@ -2,8 +2,19 @@ import random
 import re
 
 from llm_cases import awkward, empty
-
-from martkit.llm.secrets import CANDIDATE, add_features, dictionary, find_candidates, scan_secrets
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from martkit.llm.secrets import (
+    CANDIDATE,
+    FEATURES,
+    add_features,
+    dictionary,
+    example_findings,
+    find_candidates,
+    scan_secrets,
+)
 
 SCHEMA = "doc_id bigint, text string"
 WORDS = ["neighbour", "hood", "under", "standing", "counter", "balance", "over", "whelming"]
@@ -155,11 +166,72 @@ def test_few_secrets_of_many_copies(spark):
         keys = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(2)]
         copies = [(1000 + i, f'token = "{keys[i % 2]}"') for i in range(400)]
         frame = spark.createDataFrame(words + copies, SCHEMA)
-        found = scan_secrets(frame, sample=5, seed=seed).where("kept").select("found").collect()
+        labelled = find_candidates(frame).selectExpr(
+            "found", "before", "after", "cast(before like '%token = %' as double) as label"
+        )
+        found = scan_secrets(frame, labelled, sample=5, seed=seed).where("kept").select("found").collect()
         assert {r["found"] for r in found} >= set(keys) and len(found) >= 400
 
 
 def test_awkward_rows_and_empty_table(spark):
     found = scan_secrets(awkward(spark)).collect()
-    assert all(r["kept"] and r["score"] is None for r in found)
+    assert all(0 <= r["score"] <= 1 and r["kept"] == (r["score"] >= 0.5) for r in found)
     assert scan_secrets(empty(spark)).collect() == []
+    # labels that are all alike teach nothing
+    rows, _ = made(5, 8)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    alike = find_candidates(frame).selectExpr("found", "before", "after", "1d as label")
+    assert all(r["kept"] and r["score"] is None for r in scan_secrets(frame, alike).collect())
+
+
+def by_rule(row):
+    """What a fixed rule on a known format or an assignment says."""
+    return row["known_key"] == 1 or (row["assigned"] == 1 and row["digits"] > 0)
+
+
+def test_the_forest_beats_a_rule_on_unseen_findings(spark):
+    rows, _ = made(7)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    words = dictionary(frame)
+    unseen = example_findings(spark, words, 1000, seed=9).distinct()
+    features = {
+        (r["found"], r["before"], r["after"]): r for r in add_features(unseen, words).collect()
+    }
+    texts = unseen.select(F.concat("before", "found", "after").alias("text"), "*")
+    texts = texts.withColumn("doc_id", F.monotonically_increasing_id() + 10_000)
+    texts = texts.persist()
+    scored = scan_secrets(frame.union(texts.select("doc_id", "text"))).collect()
+    kept = {(r["doc_id"], r["found"]): r["kept"] for r in scored}
+    right, missed = [], []
+    for r in texts.collect():
+        if (r["doc_id"], r["found"]) in kept:
+            own = features[(r["found"], r["before"], r["after"])]
+            right.append(kept[(r["doc_id"], r["found"])] == (r["label"] == 1))
+            if by_rule(own) != (r["label"] == 1):
+                missed.append(right[-1])
+    assert len(right) > 800 and len(missed) > 50
+    assert sum(right) / len(right) > 0.93
+    # of what the rule gets wrong most is right
+    assert sum(missed) / len(missed) > 0.6
+    texts.unpersist()
+
+
+def test_every_group_of_features_counts(spark):
+    """Scores of unseen findings change when a group of features is dealt out anew."""
+    rows, _ = made(8)
+    words = dictionary(spark.createDataFrame(rows, SCHEMA))
+    train = add_features(example_findings(spark, words, 2000), words)
+    test = add_features(example_findings(spark, words, 600, seed=5), words).toPandas()
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    model = RandomForestClassifier(numTrees=24, maxDepth=6, seed=1).fit(assembler.transform(train))
+
+    def scores(frame):
+        found = model.transform(assembler.transform(spark.createDataFrame(frame[FEATURES])))
+        return [r.probability[1] for r in found.select("probability").collect()]
+
+    plain = scores(test)
+    groups = [["length"], ["changes"], ["covered"], ["slashes", "in_path"], ["key_word", "example_word", "assigned"]]
+    for group in groups:
+        dealt = test.copy()
+        dealt[group] = dealt[group].sample(frac=1, random_state=3).to_numpy()
+        assert sum(abs(a - b) > 0.02 for a, b in zip(plain, scores(dealt))) > 20, group

@@ -31,8 +31,10 @@ CAPACITY = 2048
 END_ID = 0
 # Spread of the pieces of one length over tasks, for lengths that many share.
 SPREAD = 1024
-# Words, and parts of words, whose ids a worker remembers: twice as many at most.
-REMEMBERED = 350_000
+# Bytes that one generation of remembered words, or parts of words, may take. A worker
+# holds two generations of each, and an entry takes so much besides its letters and ids.
+GENERATION = 64 << 20
+ENTRY = 180
 # Characters of text that are looked up together.
 LOT = 1 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -54,14 +56,19 @@ class Memory:
     def __init__(self) -> None:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def add(self, found: dict[str, bytes]) -> None:
+        self.young.update(found)
+        self.held += ENTRY * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
 
     def missing(self, wanted: set[str]) -> set[str]:
         """Those of ``wanted`` that are not known; all others are in the younger now."""
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
+        if self.held > GENERATION:
+            self.old, self.young, self.held = self.young, {}, 0
         wanted = wanted - self.young.keys()
         known = wanted & self.old.keys()
-        self.young.update((w, self.old[w]) for w in known)
+        self.add({w: self.old[w] for w in known})
         return wanted - known
 
 
@@ -98,7 +105,7 @@ class WordIds:
                 found = [x.tobytes() for x in np.split(ids, cuts[:-1])]
             else:
                 found = self.encode(some)
-            self.parts.young.update(zip(some, found))
+            self.parts.add(dict(zip(some, found)))
 
     def learn(self, words: set[str]) -> None:
         simple, other = {}, []
@@ -109,10 +116,8 @@ class WordIds:
                 other.append(word)
         self.learn_parts(sorted(self.parts.missing({p for ps in simple.values() for p in ps})))
         known = self.parts.young
-        young = self.words.young
-        for word, parts in simple.items():
-            young[word] = b"".join([known[p] for p in parts])
-        young.update(zip(other, self.encode(other)))
+        self.words.add({w: b"".join([known[p] for p in parts]) for w, parts in simple.items()})
+        self.words.add(dict(zip(other, self.encode(other))))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Texts should be a batch of bounded size."""

@@ -32,7 +32,7 @@ def test_word_ids_equal_whole_text_ids():
 def test_memory_is_bounded(monkeypatch):
     import martkit.llm.packing as packing
 
-    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    monkeypatch.setattr(packing, "GENERATION", 10 * packing.ENTRY)
     words = WordIds(PATH)
     texts = [f"alpha{chr(97 + i % 26)}{chr(97 + i // 26)} the" for i in range(300)]
     for text, ids in zip(texts, plain_ids(texts)):

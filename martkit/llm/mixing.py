@@ -5,6 +5,9 @@ document draws its number of copies from a Poisson distribution with that mean,
 inverting the distribution at a number hashed from seed and document id; it is then
 exploded by that count, and all copies are shuffled globally.
 
+A document that is repeated very often, as one of a tiny source with a large share is,
+is dealt out in lots of copies first, so that no task makes all of them.
+
 Null sources form one source of their own. A source without a weight gets none.
 Sizes are UTF-8 bytes plus one, so empty and null texts weigh something. Repeated ids
 draw the same number; a null id draws by its text. An empty table gives no rows.
@@ -28,9 +31,15 @@ PART_MEAN = 16.0
 # No draw of 52 bits lies beyond so many values for a part.
 MOST = int(PART_MEAN + 14 * math.sqrt(PART_MEAN) + 40)
 
+# Copies of a document that one task makes.
+LOT = 1024
+# A greater rate is refused: copies are counted by 32-bit numbers.
+MOST_RATE = 1 << 30
+
 SOURCE = "__mix_source"
 RATE = "__mix_rate"
 DRAW = "__mix_draw"
+LOTS = "__mix_lot"
 COPY = "copy"
 COPIES = "n_copies"
 SHUFFLE = "shuffle_key"
@@ -42,11 +51,14 @@ def source_rates(
     epochs: float = 1.0,
     source: str = "source",
     text: str = "text",
+    max_rate: float | None = None,
 ) -> DataFrame:
     """(source, n_docs, bytes, rate), one row per source.
 
     ``weights`` need not add up to one; without them all sources weigh the same.
-    ``epochs`` times the bytes of the table is the expected size of the mix.
+    ``epochs`` times the bytes of the table is the expected size of the mix. ``max_rate``
+    bounds how often a document is repeated on average; sources that it holds back fall
+    short of their share.
     """
     size = F.coalesce(F.octet_length(quoted(text)), F.lit(0)).cast("bigint") + 1
     sizes = docs.select(quoted(source).alias("source"), size.alias("size")).groupBy("source")
@@ -68,7 +80,13 @@ def source_rates(
     all_bytes, all_weight = totals[0] or 0, totals[1] or 0.0
     share = F.col("weight") / F.lit(all_weight or 1.0)
     rate = F.lit(float(epochs)) * F.lit(float(all_bytes)) * share / F.col("bytes")
-    return weighed.select("source", "n_docs", "bytes", rate.alias("rate"))
+    if max_rate is not None:
+        rate = F.least(rate, F.lit(float(max_rate)))
+    rates = weighed.select("source", "n_docs", "bytes", rate.alias("rate"))
+    greatest = rates.agg(F.max("rate")).first()[0] or 0.0
+    if greatest > MOST_RATE:
+        raise ValueError(f"a source would be repeated {greatest:.3g} times; set max_rate")
+    return rates
 
 
 def poisson(mean: Column, draw: Column, seed: int) -> Column:
@@ -105,6 +123,7 @@ def mix_sources(
     key: str = "doc_id",
     source: str = "source",
     text: str = "text",
+    max_rate: float | None = None,
 ) -> DataFrame:
     """All columns of ``docs`` with ``copy`` (from 1), ``n_copies`` and ``shuffle_key``.
 
@@ -112,7 +131,7 @@ def mix_sources(
     seed, id and copy. Sorting by ``shuffle_key`` gives one order for all.
     Input columns of those three names are replaced.
     """
-    rates = source_rates(docs, weights, epochs, source, text)
+    rates = source_rates(docs, weights, epochs, source, text, max_rate)
     rates = rates.select(
         F.concat_ws("", F.lit("s"), "source").alias(SOURCE),
         F.col("source").isNull().alias(SOURCE + "_null"),
@@ -126,8 +145,15 @@ def mix_sources(
     draw = F.coalesce(quoted(key).cast("string"), F.md5(F.coalesce(quoted(text), F.lit(""))))
     rows = rows.withColumn(DRAW, draw)
     rows = rows.withColumn(COPIES, poisson(F.col(RATE), F.col(DRAW), seed))
-    rows = rows.where(F.col(COPIES) > 0)
-    rows = rows.withColumn(COPY, F.explode(F.sequence(F.lit(1), F.col(COPIES))))
+    few = rows.where((F.col(COPIES) > 0) & (F.col(COPIES) <= LOT))
+    few = few.withColumn(COPY, F.explode(F.sequence(F.lit(1), F.col(COPIES))))
+    last = F.floor((F.col(COPIES) - 1) / LOT).cast("int")
+    lots = rows.where(F.col(COPIES) > LOT)
+    lots = lots.withColumn(LOTS, F.explode(F.sequence(F.lit(0), last)))
+    lots = lots.repartition(DRAW, LOTS)
+    begin = F.col(LOTS) * LOT
+    own = F.sequence(begin + 1, F.least(begin + LOT, F.col(COPIES)))
+    rows = few.unionByName(lots.withColumn(COPY, F.explode(own)).drop(LOTS))
     digest = F.md5(F.concat_ws(":", F.lit(f"{seed}s"), F.col(DRAW), F.col(COPY).cast("string")))
     rows = rows.withColumn(SHUFFLE, hex_number(digest, 15))
     mixed = rows.select(*[quoted(c) for c in columns], COPY, COPIES, SHUFFLE)

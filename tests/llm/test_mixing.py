@@ -78,3 +78,25 @@ def test_bad_weights_and_empty_table(spark):
         mix_sources(awkward(spark), {"a": -1.0})
     assert mix_sources(empty(spark)).collect() == []
     assert mix_sources(awkward(spark), {"none": 1.0}).collect() == []
+
+
+def test_one_tiny_row_with_a_large_share(spark, monkeypatch):
+    import martkit.llm.mixing as mixing
+
+    rows = [(1, "x", "en", "tiny", 1), (2, "y" * 20_000, "en", "big", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    mixed = mix_sources(docs)
+    copies = sorted(r.copy for r in mixed.where("doc_id = 1").select("copy").collect())
+    assert copies == list(range(1, len(copies) + 1))
+    # the mean is some 5,000, the deviation 71
+    assert abs(len(copies) - 20_003 / 4) < 6 * 71
+    counts = {r.n_copies for r in mixed.where("doc_id = 1").select("n_copies").distinct().collect()}
+    assert counts == {len(copies)}
+    # lots make no difference to the rows
+    monkeypatch.setattr(mixing, "LOT", 7)
+    assert sorted(map(tuple, mix_sources(docs).collect())) == sorted(map(tuple, mixed.collect()))
+    bounded = mix_sources(docs, max_rate=2.0).groupBy("doc_id").count().collect()
+    assert sum(r["count"] for r in bounded) < 30
+    monkeypatch.setattr(mixing, "MOST_RATE", 100)
+    with pytest.raises(ValueError, match="max_rate"):
+        mix_sources(docs)

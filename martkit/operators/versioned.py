@@ -231,9 +231,13 @@ class VersionedTable:
         table._append_line(commit_time, "create", _nullable(df.schema), number, folder)
         return table
 
-    def upsert(self, df: DataFrame, commit_time: str) -> None:
-        """Insert new keys, replace known ones whole-row; may bring new columns."""
-        last = self._next(commit_time)
+    def upsert(self, df: DataFrame, commit_time: str, expected: str | None = None) -> None:
+        """Insert new keys, replace known ones whole-row; may bring new columns.
+
+        ``expected`` is the last commit that ``df`` was made from: if another has come since,
+        nothing is written.
+        """
+        last = self._next(commit_time, expected)
         required = [self.key, self.partition, self.precombine]
         df = plain_batch(df, last.columns.names, required)
         schema = evolve(last.columns, _nullable(df.schema), _case_sensitive(self.spark))
@@ -241,9 +245,12 @@ class VersionedTable:
         folder = self._write(rows.withColumn(DELETED, F.lit(False)), commit_time)
         self._append_line(commit_time, "upsert", schema, last.number, folder)
 
-    def delete(self, df: DataFrame, commit_time: str) -> None:
-        """Delete the keys of the batch; its other columns do not matter."""
-        last = self._next(commit_time)
+    def delete(self, df: DataFrame, commit_time: str, expected: str | None = None) -> None:
+        """Delete the keys of the batch; its other columns do not matter.
+
+        ``expected`` as for ``upsert``.
+        """
+        last = self._next(commit_time, expected)
         keys = plain_batch(df.select(self.key), [], [self.key])
         schema = evolve(last.columns, _nullable(keys.schema), _case_sensitive(self.spark))
         keys = as_schema(keys, schema, [self.key]).distinct()
@@ -386,9 +393,11 @@ class VersionedTable:
         if not create_file(self.spark, target, line + "\n"):
             raise ConcurrentCommit(f"another commit came before {commit_time}; nothing changed")
 
-    def _next(self, commit_time: str) -> _Line:
+    def _next(self, commit_time: str, expected: str | None = None) -> _Line:
         _check_instant(commit_time)
         last = self._history(LAST)[0]
+        if expected is not None and last.commit_time != expected:
+            raise ConcurrentCommit(f"{last.commit_time} has come after {expected}")
         if commit_time <= last.commit_time:
             raise ValueError(f"commit {commit_time} is not after {last.commit_time}")
         return last

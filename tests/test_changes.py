@@ -255,7 +255,7 @@ def test_the_later_of_two_writers_is_refused(spark, table, monkeypatch):
     one, two = (VersionedTable(spark, table.root) for _ in range(2))
     started = two._next(T[3])
     one.upsert(batch(spark, ("one", "d", 1.0, 1)), T[3])
-    monkeypatch.setattr(two, "_next", lambda instant: started)
+    monkeypatch.setattr(two, "_next", lambda *_: started)
     with pytest.raises(ConcurrentCommit):
         two.upsert(batch(spark, ("two", "d", 1.0, 1)), T[3])
     with pytest.raises(ConcurrentCommit):
@@ -263,7 +263,11 @@ def test_the_later_of_two_writers_is_refused(spark, table, monkeypatch):
     monkeypatch.undo()
     ids = {row.id for row in table.snapshot().collect()}
     assert "one" in ids and "two" not in ids and "a" in ids
+    with pytest.raises(ConcurrentCommit, match="has come after"):
+        two.upsert(batch(spark, ("two", "d", 1.0, 1)), "20240105000000000", expected=T[2])
+    with pytest.raises(ConcurrentCommit):
+        two.delete(batch(spark, ("a", "d", 1.0, 1)), "20240105000000000", expected=T[2])
     # it can start again
-    two.upsert(batch(spark, ("two", "d", 1.0, 1)), "20240105000000000")
+    two.upsert(batch(spark, ("two", "d", 1.0, 1)), "20240105000000000", expected=T[3])
     assert "two" in {row.id for row in one.snapshot().collect()}
     assert [c.commit_time for c in one.commits()] == [*T, "20240105000000000"]

@@ -51,7 +51,9 @@ TRIED = 4
 # A block holds so many bits, and documents between these bounds.
 BLOCK_BITS = 1 << 22
 BLOCK_ROWS = (8, 2048)
-LEAST_WIDTH = 128
+# Widths of signatures. Beyond the greatest, entries crowd, so bounds get loose and the
+# document is more often scored exactly.
+LEAST_WIDTH, MOST_WIDTH = 128, 1 << 20
 
 # Different terms that a task counts before it passes the counts on.
 COUNTED = 100_000
@@ -126,7 +128,7 @@ def slice_numbers(keys, width: int):
 
 
 def signature_width(entries: int) -> int:
-    return max(LEAST_WIDTH, 1 << (BITS * entries - 1).bit_length())
+    return min(MOST_WIDTH, max(LEAST_WIDTH, 1 << (BITS * entries - 1).bit_length()))
 
 
 def block_rows(width: int) -> int:

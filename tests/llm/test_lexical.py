@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from llm_cases import awkward, empty
 
+import __spark_entry__  # noqa: F401  ships the package by value, so patched constants reach the tasks
 from martkit.llm import lexical
 from martkit.llm.lexical import (
     BLOCK,
@@ -90,6 +91,16 @@ def test_lots_and_small_blocks_give_the_same(spark, monkeypatch):
     assert found == brute_force(docs, queries, 5)
 
 
+def test_crowded_signatures_give_the_same(spark, monkeypatch):
+    docs = corpus(spark, 120).repartition(3)
+    queries = asked(spark, "w1 w300", "w7 w399 w250")
+    monkeypatch.setattr(lexical, "MOST_WIDTH", 128)
+    index = build_index(docs)
+    widths = {row.width for row in index.entries.where(f"kind = {BLOCK}").collect()}
+    assert widths == {128}
+    assert rows_of(search(index, docs, queries, 5)) == brute_force(docs, queries, 5)
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark).repartition(3)
     queries = spark.createDataFrame(

@@ -5,24 +5,24 @@ term that occurs n times weighs 1 + ln(n), a shingle SHINGLE_WEIGHT times that.
 term's hash votes on every bit, for or against it. Equal texts have equal fingerprints.
 
 Texts without a word (empty or null ones too) have the fingerprint of zero bits.
-Fingerprints are hex strings of BITS / 4 digits.
+Fingerprints are hex strings of BITS / 4 digits. They are searched by ``hamming``.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.common import bound_batches, once, quoted
+from martkit.llm.hamming import BITS, count_near
+from martkit.operators.joins import lookup_join
 from martkit.session import materialize
 
-BITS = 128
 SHINGLE = 5
 SHINGLE_WEIGHT = 2.0
 # Words whose hashes a worker remembers.
@@ -33,6 +33,11 @@ LOT = 1 << 14
 # ranges there are; the list of their bounds is all that the driver holds.
 RANGE_ROWS = 2_000
 MOST_RANGES = 20_000
+# Bits in which fingerprints of near copies differ at most: texts of which 0.8 of the
+# five-word shingles are shared measured 13 to 20, others that share few above 40.
+RADIUS = 20
+# Documents whose ids this divides are looked up among all.
+ASKED = 50
 
 
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -110,60 +115,6 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     return rows.mapInArrow(mark, "doc_id bigint, fingerprint string")
 
 
-def hamming(a: Column, b: Column) -> Column:
-    """Bits in which two hex fingerprints differ."""
-
-    def lane(x: Column, i: int) -> Column:
-        return F.conv(F.substring(x, 8 * i + 1, 8), 16, 10).cast("bigint")
-
-    lanes = [F.bit_count(lane(a, i).bitwiseXOR(lane(b, i))) for i in range(BITS // 32)]
-    return sum(lanes[1:], lanes[0])
-
-
-def near_fingerprints(
-    queries: DataFrame, marks: DataFrame, radius: int = 3, blocks: int = 6
-) -> DataFrame:
-    """(fingerprint, near, distance): every pair of different fingerprints within ``radius``.
-
-    Both inputs have a ``fingerprint`` column; equal ones count once. The digits are cut
-    into ``blocks`` blocks. Two fingerprints within the radius agree in all blocks but
-    ``radius``, so one table for each choice of the others finds them all. A pair is
-    reported by the first table that holds it, so none has to be made distinct.
-    """
-    if not 0 <= radius < blocks <= BITS // 4:
-        raise ValueError("0 <= radius < blocks <= digits is needed")
-    edges = [i * (BITS // 4) // blocks for i in range(blocks + 1)]
-
-    def block(x: Column, i: int) -> Column:
-        return F.substring(x, edges[i] + 1, edges[i + 1] - edges[i])
-
-    choices = list(itertools.combinations(range(blocks), blocks - radius))
-
-    def tables(x: Column) -> Column:
-        rows = [
-            F.struct(F.lit(n).alias("n"), F.concat(*[block(x, i) for i in c]).alias("key"))
-            for n, c in enumerate(choices)
-        ]
-        return F.explode(F.array(*rows)).alias("t")
-
-    left = queries.select("fingerprint").where(F.col("fingerprint").isNotNull()).distinct()
-    right = marks.select(F.col("fingerprint").alias("near")).where("near is not null").distinct()
-    left = left.select("fingerprint", tables(F.col("fingerprint"))).select("fingerprint", "t.*")
-    right = right.select("near", tables(F.col("near"))).select("near", "t.*")
-    pairs = left.join(right, ["n", "key"])
-    apart = hamming(F.col("fingerprint"), F.col("near"))
-    pairs = pairs.withColumn("distance", apart).where(F.col("distance") <= radius)
-    agree = F.lit(len(choices))
-    for n, c in reversed(list(enumerate(choices))):
-        same = [block(F.col("fingerprint"), i) == block(F.col("near"), i) for i in c]
-        whole = same[0]
-        for one in same[1:]:
-            whole = whole & one
-        agree = F.when(whole, n).otherwise(agree)
-    pairs = pairs.where((F.col("n") == agree) & (F.col("fingerprint") != F.col("near")))
-    return pairs.select("fingerprint", "near", "distance")
-
-
 EDITED = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double"
@@ -268,3 +219,33 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
             )
 
     return dealt.mapInArrow(compare, EDITED)
+
+
+def add_near(marks: DataFrame, radius: int = RADIUS, every: int = ASKED) -> DataFrame:
+    """``marks`` with n_near and nearest_bits, for the rows whose ``doc_id`` ``every`` divides.
+
+    ``n_near`` counts the other rows of ``marks`` whose fingerprint differs in at most
+    ``radius`` bits, ``nearest_bits`` is the least difference, null where there are none.
+    Other rows (also those without an id) have null for both. ``marks`` is read
+    several times and should be stored.
+    """
+    chosen = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
+    asked = marks.where(chosen)
+    queries = asked.select("fingerprint").distinct()
+    others = count_near(queries, marks, radius)
+    # copies with the very same fingerprint
+    equal = lookup_join(marks.select("fingerprint"), materialize(queries, "asked"), ["fingerprint"], "inner")
+    equal = equal.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("same"))
+    found = equal.join(others, "fingerprint", "left")
+    found = materialize(found, "near-counts")
+    rows = lookup_join(asked, found, ["fingerprint"], "left").select(
+        *marks.columns,
+        (F.coalesce("n_near", F.lit(0)) + F.col("same") - 1).alias("n_near"),
+        F.when(F.col("same") > 1, 0).otherwise(F.col("nearest")).alias("nearest_bits"),
+    )
+    rest = marks.where(~chosen).select(
+        "*",
+        F.lit(None).cast("bigint").alias("n_near"),
+        F.lit(None).cast("int").alias("nearest_bits"),
+    )
+    return rows.unionByName(rest)

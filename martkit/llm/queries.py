@@ -9,7 +9,7 @@ from martkit.llm.chat import chat_digests, format_conversations
 from martkit.llm.common import table
 from martkit.llm.embeddings import link_embeddings
 from martkit.llm.exact import exact_duplicates
-from martkit.llm.fingerprints import edited_fingerprints
+from martkit.llm.fingerprints import add_near, edited_fingerprints
 from martkit.llm.jaccard import jaccard_components
 from martkit.llm.language import fit_languages, held_out, identify
 from martkit.llm.lexical import build_index, search
@@ -19,6 +19,7 @@ from martkit.llm.packing import pack_documents
 from martkit.llm.pii import detect_pii
 from martkit.llm.secrets import scan_secrets
 from martkit.llm.sharding import shard_rows
+from martkit.session import materialize
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -77,7 +78,9 @@ def op6_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(table(spark, sf_dir, "documents"))
+    """All documents; those with an id divisible by 50 are looked up among all."""
+    marks = edited_fingerprints(table(spark, sf_dir, "documents"))
+    return add_near(materialize(marks, "edited-fingerprints"))
 
 
 def op8_embedding_itq(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,8 @@ EXAMPLES, EXAMPLE_WORDS = 8000, 256
 # each weighs as much as it has copies.
 SAMPLE = 4000
 TREES, DEPTH = 24, 6
+# Candidates of a text whose ends are summed up together.
+RUN = 256
 KEPT = 0.5
 
 # Signs of a secret, by prefix of a known key format or by assignment.
@@ -121,6 +123,44 @@ def add_coverage(candidates: DataFrame, words: DataFrame) -> DataFrame:
     return rows.withColumn("covered", share.cast("double")).drop("letters")
 
 
+def running_sums(steps: Column) -> Column:
+    """The sums of an array of numbers up to each of them.
+
+    Adding to an array copies it, so sums are made within runs of RUN numbers, then
+    over the runs; the work is in proportion to the numbers for many millions of them.
+    """
+
+    def added(values: Column, start: Column) -> Column:
+        kind = "struct<at: bigint, sums: array<bigint>>"
+        first = F.struct(start.alias("at"), F.array().alias("sums")).cast(kind)
+
+        def add(acc: Column, value: Column) -> Column:
+            now = acc["at"] + value
+            return F.struct(now.alias("at"), F.concat(acc["sums"], F.array(now)).alias("sums"))
+
+        return F.aggregate(values, first, add, lambda acc: acc["sums"])
+
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        """``use(value)``, the value being computed once, not each time it is looked at."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    zero = F.lit(0).cast("bigint")
+
+    def cut(values: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(RUN))
+        return F.transform(starts, lambda at: F.slice(values, at, F.lit(RUN)))
+
+    def join(runs: Column) -> Column:
+        sums = F.transform(runs, lambda run: F.aggregate(run, zero, lambda a, b: a + b))
+        before = F.concat(F.array(zero), added(sums, zero))
+        return bound(
+            before,
+            lambda first: F.transform(runs, lambda run, i: added(run, F.get(first, i))),
+        )
+
+    return F.flatten(bound(steps, lambda values: bound(cut(values), join)))
+
+
 def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, end, found, before, after), one row per candidate."""
     rows = docs.select(quoted(key).alias("doc_id"), quoted(text).alias("text"))
@@ -153,16 +193,7 @@ def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         )
 
     rows = rows.select("doc_id", F.transform("hits", hit).alias("hits"))
-    # running ends of the candidates
-    ends = F.aggregate(
-        "hits",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")),
-        lambda acc, h: F.struct(
-            (acc["at"] + h["step"]).alias("at"),
-            F.concat(acc["ends"], F.array(acc["at"] + h["step"])).alias("ends"),
-        ),
-        lambda acc: acc["ends"],
-    )
+    ends = running_sums(F.transform("hits", lambda h: h["step"]))
     rows = rows.select("doc_id", F.explode(F.arrays_zip(F.col("hits"), ends.alias("end"))).alias("h"))
     return rows.select(
         "doc_id",

@@ -1,6 +1,9 @@
+import itertools
 import random
 import re
+import time
 
+import pytest
 from llm_cases import awkward, empty
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -13,6 +16,7 @@ from martkit.llm.secrets import (
     dictionary,
     example_findings,
     find_candidates,
+    running_sums,
     scan_secrets,
 )
 
@@ -109,6 +113,23 @@ def test_long_values_take_linear_time(spark):
     assert sorted((r["doc_id"], len(r["found"])) for r in found) == [(0, 199_999), (2, 64 + 210_000)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
+def test_running_sums(spark, n):
+    values = [i * 7 % 13 for i in range(n)]
+    frame = spark.createDataFrame([(values,), ([],)], "v array<int>")
+    sums = [r[0] for r in frame.select(running_sums(F.col("v"))).collect()]
+    assert sums == [list(itertools.accumulate(values)), []]
+
+
+def test_many_candidates_of_one_text_take_linear_time(spark):
+    text = " ".join(f"abcdef0123456789{i:06d}" for i in range(64_000))
+    started = time.monotonic()
+    found = find_candidates(spark.createDataFrame([(1, text)], SCHEMA))
+    last = found.agg(F.count("*"), F.max("end"), F.max("start")).first()
+    assert tuple(last) == (64_000, len(text), len(text) - 22)
+    assert time.monotonic() - started < 30
+
+
 def test_short_values_are_kept(spark):
     rows, _ = made(6)
     more = [(1000 + i, f"the balance password: Tr0ub{i}dor3x over") for i in range(50)]

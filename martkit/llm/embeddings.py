@@ -44,6 +44,9 @@ BLOCK = 2048
 # mean by so many standard deviations are not compared.
 DEVIATIONS = 4.0
 STRIP = 256
+# Bits of a code that go along with a vector to each of its tables; so what is filed grows
+# with the tables, not with their square.
+KEPT_BITS = 512
 
 
 @dataclass
@@ -52,13 +55,32 @@ class Codes:
 
     rotations: np.ndarray  # (dimensions, bits)
     width: int
-    radius: int
+    radius: int  # of the bits that are kept
+    kept: int  # tables whose pieces go along, all if these are few
+
+    @property
+    def tables(self) -> int:
+        return self.rotations.shape[1] // self.width
 
     def encode(self, rows: np.ndarray) -> np.ndarray:
         """One number of ``width`` bits for each table."""
         bits = (rows @ self.rotations > 0).reshape(len(rows), -1, self.width)
         return bits @ (1 << np.arange(self.width, dtype=np.int64))
 
+    def pack(self, pieces: np.ndarray) -> np.ndarray:
+        """The kept pieces as rows of 64-bit numbers."""
+        bits = pieces[:, : self.kept, None] >> np.arange(self.width, dtype=np.int64) & 1
+        bits = bits.reshape(len(pieces), -1).astype(np.uint8)
+        lanes = np.zeros((len(pieces), -(-bits.shape[1] // 64) * 64), dtype=np.uint8)
+        lanes[:, : bits.shape[1]] = bits
+        return np.packbits(lanes, axis=1).view(np.uint64)
+
+    def unpack(self, lanes: np.ndarray) -> np.ndarray:
+        """The kept pieces again."""
+        bits = np.unpackbits(lanes.view(np.uint8), axis=1)[:, : self.kept * self.width]
+        bits = bits.reshape(len(lanes), self.kept, self.width)
+        return bits @ (1 << np.arange(self.width, dtype=np.int64))
+
 
 def rotation(rows: np.ndarray, rng: np.random.Generator, rounds: int = ITERATIONS) -> np.ndarray:
     """Principal directions, rotated so that signs are as near to the data as can be."""
@@ -83,9 +105,12 @@ def fit_codes(rows: np.ndarray, nodes: int, cosine: float, seed: int = 5) -> Cod
     tables = max(1, math.ceil(math.log(1 - RECALL) / math.log1p(-meet))) if meet < 1 else 1
     bits, size = width * tables, rows.shape[1]
     found = [rotation(rows, rng) for _ in range(-(-bits // size))]
-    mean = bits * differ
-    radius = math.ceil(mean + DEVIATIONS * math.sqrt(mean * (1 - differ)) * math.sqrt(bits / size))
-    return Codes(np.concatenate(found, axis=1)[:, :bits], width, min(bits, radius))
+    kept = min(tables, max(1, KEPT_BITS // width))
+    mean = kept * width * differ
+    # bits of more than one rotation of a short vector depend on one another
+    spread = math.sqrt(mean * (1 - differ)) * math.sqrt(max(1.0, kept * width / size))
+    radius = math.ceil(mean + DEVIATIONS * spread)
+    return Codes(np.concatenate(found, axis=1)[:, :bits], width, min(kept * width, radius), kept)
 
 
 def unit_vector(values: list[float | None] | None) -> np.ndarray | None:
@@ -126,10 +151,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Ar
 
 
 def near_pairs(vectors: DataFrame, codes: Codes) -> DataFrame:
-    """(a, b) of nodes that share a table and are near by their codes."""
+    """(a, b) of nodes that share a table and are near by the kept bits of their codes.
+
+    A pair is reported by the first kept table that it shares, or by others that it
+    shares if it shares none of the kept ones; these few are made distinct.
+    """
     spark = vectors.sparkSession
     shared = spark.sparkContext.broadcast(codes)
-    tables = codes.rotations.shape[1] // codes.width
+    tables, kept = codes.tables, codes.kept
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +167,7 @@ def near_pairs(vectors: DataFrame, codes: Codes) -> DataFrame:
             if not len(rows):
                 continue
             found = shared.value.encode(rows)
-            whole = [c.astype("<i8").tobytes() for c in found]
+            whole = [c.tobytes() for c in shared.value.pack(found)]
             node = batch.column(0).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -178,30 +207,28 @@ def near_pairs(vectors: DataFrame, codes: Codes) -> DataFrame:
         for columns in _blocks(batches, 4):
             place, low, high = (columns[i][0].as_py() for i in (0, 2, 3))
             own, node = (columns[i].to_numpy() for i in (4, 5))
-            code = np.array([np.frombuffer(c, dtype="<i8") for c in columns[6].to_pylist()])
-            code = code.view(np.uint64)
+            code = np.array([np.frombuffer(c, dtype=np.uint64) for c in columns[6].to_pylist()])
+            pieces = shared.value.unpack(code)[:, :place]
             left = np.flatnonzero(own == low)
             right = left if low == high else np.flatnonzero(own == high)
             for at in range(0, len(left), STRIP):
                 rows = left[at : at + STRIP]
                 apart = np.zeros((len(rows), len(right)), dtype=np.int32)
-                fresh = np.ones(apart.shape, dtype=bool)
-                for t in range(code.shape[1]):
-                    differs = code[rows, t][:, None] ^ code[right, t][None, :]
-                    apart += np.bitwise_count(differs)
-                    if t < place:
-                        fresh &= differs != 0
-                good = fresh & (apart <= radius)
+                for lane in range(code.shape[1]):
+                    apart += np.bitwise_count(code[rows, lane][:, None] ^ code[right, lane][None, :])
+                good = apart <= radius
                 # of a block with itself each pair once
                 if low == high:
                     good &= np.arange(len(right))[None, :] > (at + np.arange(len(rows)))[:, None]
                 i, j = np.nonzero(good)
-                if len(i):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(node[rows[i]]), pa.array(node[right[j]])], names=["a", "b"]
-                    )
-
-    return dealt.mapInArrow(compare, "a bigint, b bigint")
+                fresh = (pieces[rows[i]] != pieces[right[j]]).all(axis=1)
+                a, b = node[rows[i[fresh]]], node[right[j[fresh]]]
+                if len(a):
+                    ends = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+                    yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    pairs = dealt.mapInArrow(compare, "a bigint, b bigint")
+    return pairs if kept == tables else pairs.distinct()
 
 
 def link_embeddings(

@@ -151,3 +151,30 @@ def test_recall_of_planted_pairs(spark, dimensions):
     recall = sum(found.values()) / expected.sum()
     print(f"recall at {dimensions} dimensions: {recall:.4f} of {expected.sum() // 2} pairs")
     assert expected.sum() > 600 and recall >= 0.97
+
+
+@pytest.mark.parametrize("bits", [1, 40, 4096])
+def test_kept_pieces_are_packed(monkeypatch, bits):
+    monkeypatch.setattr(embeddings, "KEPT_BITS", bits)
+    rows = np.random.default_rng(4).standard_normal((50, 16))
+    codes = fit_codes(rows, 5000, 0.9)
+    pieces = codes.encode(rows)
+    assert codes.kept == min(codes.tables, max(1, bits // codes.width))
+    lanes = codes.pack(pieces)
+    assert lanes.shape == (50, -(-codes.kept * codes.width // 64))
+    assert (codes.unpack(lanes) == pieces[:, : codes.kept]).all()
+
+
+def test_pairs_of_tables_that_do_not_go_along_are_found_once(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "KEPT_BITS", 40)
+    rows = planted(32)
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(rows)], "vec_id bigint, embedding array<double>"
+    )
+    found = {r["vec_id"]: r["n_links"] for r in link_embeddings(frame).collect()}
+    expected = near.sum(axis=1)
+    assert all(found[i] <= expected[i] for i in range(len(rows)))
+    assert sum(found.values()) / expected.sum() >= 0.97

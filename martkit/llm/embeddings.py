@@ -208,7 +208,7 @@ def near_pairs(vectors: DataFrame, codes: Codes) -> DataFrame:
             place, low, high = (columns[i][0].as_py() for i in (0, 2, 3))
             own, node = (columns[i].to_numpy() for i in (4, 5))
             code = np.array([np.frombuffer(c, dtype=np.uint64) for c in columns[6].to_pylist()])
-            pieces = shared.value.unpack(code)[:, :place]
+            pieces = np.ascontiguousarray(shared.value.unpack(code)[:, :place].T)
             left = np.flatnonzero(own == low)
             right = left if low == high else np.flatnonzero(own == high)
             for at in range(0, len(left), STRIP):
@@ -221,8 +221,11 @@ def near_pairs(vectors: DataFrame, codes: Codes) -> DataFrame:
                 if low == high:
                     good &= np.arange(len(right))[None, :] > (at + np.arange(len(rows)))[:, None]
                 i, j = np.nonzero(good)
-                fresh = (pieces[rows[i]] != pieces[right[j]]).all(axis=1)
-                a, b = node[rows[i[fresh]]], node[right[j[fresh]]]
+                i, j = rows[i], right[j]
+                for piece in pieces:
+                    fresh = piece[i] != piece[j]
+                    i, j = i[fresh], j[fresh]
+                a, b = node[i], node[j]
                 if len(a):
                     ends = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
                     yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])

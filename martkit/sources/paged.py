@@ -32,6 +32,11 @@ PAGES_PER_TASK = 100
 RANGES = 10_000
 SPAN = 100_000
 
+# Pages of a task of :func:`fetch_kept` at most, and its tasks for each core when fewer fill
+# them: a task has a fixed cost, many times that of a hundred pages.
+MOST_PAGES_PER_TASK = 5_000
+TASKS_PER_CORE = 4
+
 
 class PageRange(InputPartition):
     """Pages from ``first`` to ``last``, both included."""
@@ -132,21 +137,23 @@ def fetch_kept(
     total_pages: int,
     kept: str,
     on_error: str = "empty",
-    pages_per_task: int = PAGES_PER_TASK,
+    pages_per_task: int | None = None,
 ) -> DataFrame:
     """The bodies of all pages, one row each, asking ``source`` only for those not in ``kept``.
 
     What comes is added to the folder before it is used. Pages that fail have no body but an
-    error; they are not kept, so the next run asks for them again.
+    error; they are not kept, so the next run asks for them again. Without ``pages_per_task``
+    a read gives each core a few tasks, of PAGES_PER_TASK to MOST_PAGES_PER_TASK pages.
     """
     known = _kept(spark, kept)
     ranges = materialize(missing_ranges(spark, total_pages, known), "missing-pages")
     failed = None
     for lot in batched(ranges.orderBy("first").toLocalIterator(), RANGES):
         wanted = ",".join(f"{first}-{last}" for first, last in lot)
+        size = pages_per_task or task_size(spark, sum(last - first + 1 for first, last in lot))
         read = spark.read.format(source).option("pages", wanted).option("onError", on_error)
         # stored once: both uses of it see the same answers
-        came = materialize(read.option("pagesPerTask", pages_per_task).load(), "came-pages")
+        came = materialize(read.option("pagesPerTask", size).load(), "came-pages")
         came.where(F.col("error").isNull()).write.mode("append").parquet(kept)
         errors = came.where(F.col("error").isNotNull())
         failed = errors if failed is None else failed.unionByName(errors)
@@ -154,6 +161,12 @@ def fetch_kept(
     return whole if failed is None else whole.unionByName(failed)
 
 
+def task_size(spark: SparkSession, pages: int) -> int:
+    """Pages of a task when ``pages`` are read: a few tasks a core, none too small or large."""
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return max(PAGES_PER_TASK, min(MOST_PAGES_PER_TASK, -(-pages // tasks)))
+
+
 def _kept(spark: SparkSession, kept: str) -> DataFrame:
     try:
         stored = spark.read.schema(FETCHED).parquet(kept)

@@ -183,3 +183,23 @@ def test_a_second_run_asks_only_for_what_is_missing(spark, tmp_path, monkeypatch
     rows, asked = run(14, set())
     assert asked == [9] and rows == {p: f"body {p}" for p in range(1, 15)}
     assert run(14, set()) == (rows, []) and run(3, set())[0].keys() == {1, 2, 3}
+
+
+def test_many_pages_are_read_in_few_tasks_of_bounded_size(spark, tmp_path):
+    kept, log = str(tmp_path / "kept"), str(tmp_path / "tasks")
+
+    def connect(secret):
+        # once a task
+        with open(log, "a") as file:
+            file.write("task\n")
+        return lambda page: f"body {page}"
+
+    spark.dataSource.register(paged_source("many_pages", connect, None, Retry(attempts=1)))
+    rows = fetch_kept(spark, "many_pages", 20_000, kept).collect()
+    assert sorted((r.page, r.sales_data) for r in rows) == [
+        (p, f"body {p}") for p in range(1, 20_001)
+    ]
+    tasks = len(open(log).read().split())
+    assert tasks <= paged.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert paged.task_size(spark, 10**9) == paged.MOST_PAGES_PER_TASK
+    assert paged.task_size(spark, 10) == paged.PAGES_PER_TASK

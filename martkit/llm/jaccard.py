@@ -14,8 +14,10 @@ Texts with equal sets are one node. The join runs through regions of the metric
    to theirs, and pairs of a cell are taken if their distances to the centre differ by the
    radius or less (triangle inequality) and their sketches leave room for the overlap.
 
-Pairs that remain are compared shingle by shingle, so links are exact; only links between
-nodes that are connected already may go unlisted. Shingles are 64-bit hashes.
+Pairs that remain are held against wide sketches, whose number of bits grows with the set,
+as sketches of one width tell nothing of long texts. What these leave is compared shingle
+by shingle, so links are exact; only links between nodes that are connected already may go
+unlisted. Shingles are 64-bit hashes.
 
 Words are what ASCII white space parts; A-Z are lower-cased. Texts without words, null
 ones too, have an empty set and link with nothing. Rows with equal ids are separate
@@ -36,7 +38,7 @@ from martkit.llm.common import bound_batches, quoted
 from martkit.llm.fingerprints import mixed
 from martkit.llm.graph import components
 from martkit.operators.joins import lookup_join
-from martkit.session import materialize
+from martkit.session import discard, materialize, shuffles_removed
 
 # A shingle is frequent from so many documents on, or from one MOST_FREQUENT-th of all
 # shingles, so that the list of frequent ones has a fixed bound. Tasks report what they
@@ -129,6 +131,30 @@ def sketch_of(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch_of(shingles: np.ndarray, percent: int) -> bytes | None:
+    """Parities as in a sketch, but of a power of two of classes that grows with the set.
+
+    It is at least four times the number of shingles that may differ between two linked
+    sets of this size; unlike ones differ in near half of the classes. None if a sketch has
+    as many.
+    """
+    bits = (8 * len(shingles) * (100 - percent) // (100 + percent)).bit_length()
+    if 1 << bits <= 64 * len(SKETCH):
+        return None
+    classes = (shingles & np.uint64((1 << bits) - 1)).astype(np.int64)
+    counts = np.bincount(classes, minlength=1 << bits)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def least_wide_different(one: np.ndarray, other: np.ndarray) -> int:
+    """As ``least_different``, by the bytes of wide sketches; the wider one is folded."""
+    while len(one) > len(other):
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    while len(other) > len(one):
+        other = other[: len(other) // 2] ^ other[len(other) // 2 :]
+    return int(np.bitwise_count(one ^ other).sum())
+
+
 def least_different(one: str, other: str) -> Column:
     """The least number of shingles that only one of two sets holds, by their sketches.
 
@@ -175,38 +201,42 @@ class JaccardJoin:
         self.nodes = materialize(self.nodes, "jaccard-nodes")
 
     def _members(self) -> DataFrame:
-        """(key, tie, node, n) of each document; the list of frequent shingles on the way."""
-        width = self.width
+        """(key, tie, node, n) of each document; frequent shingles and wide sketches on the way."""
+        percent, width = self.percent, self.width
 
         def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets, known, held, size = ShingleSets(width), set(), [], 0
 
-            def rows(counted: bool, *columns) -> pa.RecordBatch:
+            def rows(counted: bool, wides: list, *columns) -> pa.RecordBatch:
                 arrays = [pa.array(np.asarray(c, dtype=np.int64)) for c in columns]
                 flags = pa.array(np.full(len(columns[0]), counted))
                 return pa.RecordBatch.from_arrays(
-                    [flags, *arrays], names=["counted", "key", "tie", "node", "n", *SKETCH]
+                    [flags, *arrays, pa.array(wides, pa.binary())],
+                    names=["counted", "key", "tie", "node", "n", *SKETCH, "wide"],
                 )
 
             def frequent() -> pa.RecordBatch:
                 found, times = np.unique(np.concatenate(held), return_counts=True)
                 found, times = signed(found[times > 1]), times[times > 1]
                 none = np.zeros(len(found))
-                return rows(True, none, none, found, times, *[none] * len(SKETCH))
+                wides = [None] * len(found)
+                return rows(True, wides, none, none, found, times, *[none] * len(SKETCH))
 
             for batch in batches:
-                nodes, ns, sketches = [], [], []
+                nodes, ns, sketches, wides = [], [], [], []
                 for body in batch.column(2).cast(pa.binary()).to_pylist():
                     shingles = sets(body)
                     nodes.append(node_of(shingles))
                     ns.append(len(shingles))
                     sketches.append(sketch_of(shingles))
+                    wides.append(None)
                     if ns[-1] and nodes[-1] not in known:
+                        wides[-1] = wide_sketch_of(shingles, percent)
                         known.add(nodes[-1])
                         held.append(shingles)
                         size += len(held[-1])
                 bits = np.array(sketches, dtype=np.int64).reshape(-1, len(SKETCH)).T
-                yield rows(False, batch.column(0), batch.column(1), nodes, ns, *bits)
+                yield rows(False, wides, batch.column(0), batch.column(1), nodes, ns, *bits)
                 if size > GATHERED:
                     yield frequent()
                     held, size = [], 0
@@ -214,9 +244,10 @@ class JaccardJoin:
                 yield frequent()
 
         schema = "counted boolean, key bigint, tie bigint, node bigint, n bigint"
-        schema = ", ".join([schema, *[f"{name} bigint" for name in SKETCH]])
+        schema = ", ".join([schema, *[f"{name} bigint" for name in SKETCH], "wide binary"])
         every = materialize(self.docs.mapInArrow(profile, schema), "jaccard-profiles")
-        members = every.where("not counted").drop("counted")
+        members = every.where("not counted").drop("counted", "wide")
+        self.wides = every.where("wide is not null").select("node", "n", "wide")
         total = members.agg(F.sum("n")).first()[0] or 0
         least = max(FREQUENT, total // MOST_FREQUENT)
         counts = every.where("counted").groupBy("node").agg(F.sum("n").alias("n"))
@@ -389,12 +420,42 @@ class JaccardJoin:
         different = least_different(one, other) * (100 + self.percent)
         return different <= sizes * (100 - self.percent)
 
+    def _likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs less those whose wide sketches leave no room for a link."""
+        percent = self.percent
+        wides = self.wides.join(self._nodes_of(pairs), "node", "left_semi")
+        wides = materialize(wides.dropDuplicates(["node"]), "jaccard-wides")
+        for side in ("a", "b"):
+            own = [F.col(c).alias(f"{c}_{side}") for c in ("n", "wide")]
+            pairs = pairs.join(wides.select(F.col("node").alias(side), *own), side, "left")
+
+        def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                room = np.ones(batch.num_rows, dtype=bool)
+                sizes, *sides = (batch.column(i) for i in (2, 3, 4))
+                for i, (n, x, y) in enumerate(zip(sizes.to_pylist(), *sides)):
+                    if n is None:  # one of the sets has no wide sketch
+                        continue
+                    x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint8) for s in (x, y))
+                    different = least_wide_different(x, y)
+                    room[i] = different * (100 + percent) <= n * (100 - percent)
+                yield batch.select([0, 1]).filter(pa.array(room))
+
+        sizes = (F.col("n_a") + F.col("n_b")).alias("n")
+        pairs = pairs.select("a", "b", sizes, "wide_a", "wide_b")
+        likely = materialize(pairs.mapInArrow(test, "a bigint, b bigint"), "jaccard-likely")
+        discard(wides)
+        return likely
+
+    def _nodes_of(self, pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node"))
+        return nodes.unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
     def _verify(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, distance) of the pairs, from whole sets."""
+        """(a, b, common, either) of the pairs that may be linked, from whole sets."""
         width = self.width
-        pairs = materialize(pairs, "jaccard-pairs")
-        wanted = pairs.select(F.col("a").alias("node"))
-        wanted = wanted.unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        pairs = self._likely(materialize(pairs, "jaccard-pairs"))
+        wanted = self._nodes_of(pairs)
         wanted = materialize(wanted.join(self.nodes, "node").select("key", "tie", "node"), "wanted")
         # of copies of one text under one id, one is enough
         wanted = wanted.dropDuplicates(["key", "tie"])
@@ -438,7 +499,9 @@ class JaccardJoin:
 
         both = both.select("a", "b", "set_a", "set_b")
         tested = both.mapInArrow(compare, "a bigint, b bigint, common bigint, either bigint")
-        return materialize(tested, "jaccard-tested")
+        tested = materialize(tested, "jaccard-tested")
+        discard(sets)
+        return tested
 
     def _linked(self, tested: DataFrame) -> DataFrame:
         return tested.where(F.col("common") * 100 >= F.col("either") * self.percent).select("a", "b")
@@ -460,6 +523,7 @@ class JaccardJoin:
         large = large.distinct().join(self.nodes.select("node", *SKETCH), "node")
         large = materialize(large, "jaccard-large")
         direct = materialize(self._direct_pairs(regions, large), "jaccard-direct")
+        discard(regions)
 
         # the centre has the fewest rare shingles, so copies with edits are all near it
         centre = F.min(F.struct("place", F.xxhash64("node").alias("tie"), "node", "n", *SKETCH))
@@ -587,14 +651,15 @@ def jaccard_components(
     Two documents are linked when 100 * |both| >= percent * |either|. A component is named
     by the least id among its documents.
     """
-    join = JaccardJoin(docs, percent, width, key, text)
-    named = join.links()
-    # the least id of each component, by way of the least id of each node
-    least = join.nodes.join(named, "node", "left")
-    least = least.withColumn("component", F.coalesce("component", "node"))
-    names = least.groupBy("component").agg(F.min("least").alias("least"))
-    lookup = least.drop("least").join(names, "component").select("node", "least")
-    lookup = materialize(lookup, "jaccard-names")
+    with shuffles_removed(docs.sparkSession):
+        join = JaccardJoin(docs, percent, width, key, text)
+        named = join.links()
+        # the least id of each component, by way of the least id of each node
+        least = join.nodes.join(named, "node", "left")
+        least = least.withColumn("component", F.coalesce("component", "node"))
+        names = least.groupBy("component").agg(F.min("least").alias("least"))
+        lookup = least.drop("least").join(names, "component").select("node", "least")
+        lookup = materialize(lookup, "jaccard-names")
     found = lookup_join(join.members, lookup, ["node"], "left")
     return found.select(
         real_id().alias("doc_id"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +48,11 @@ def sizing(shuffle_bytes: int) -> dict[str, str]:
     return {"spark.sql.shuffle.partitions": str(max(wanted, low))}
 
 
+# Whether Spark deletes the shuffle files of a query as soon as it has ended; otherwise
+# they stay until the driver happens to collect its garbage.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(
     app: str = "martkit",
     master: str | None = None,
@@ -146,3 +153,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete what ``materialize`` stored; frames that read it are of no use afterwards."""
+    spark = stored.sparkSession
+    files = stored.inputFiles()
+    if not files:
+        return
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    if f"/martkit/{spark.sparkContext.applicationId}/" not in folder.toString():
+        raise ValueError(f"not a stored intermediate table: {folder.toString()}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files behind.
+
+    For jobs that store what they go on with. A frame made inside should be run once, as
+    a second run makes its shuffles anew.
+    """
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, before)

@@ -1,11 +1,14 @@
 import random
+from pathlib import Path
 
+import numpy as np
 import pytest
 from llm_cases import SCHEMA, awkward, awkward_rows, empty
 
 import martkit.llm.jaccard as jaccard
 from martkit.llm.graph import components
 from martkit.llm.jaccard import jaccard_components
+from martkit.session import materialize
 
 
 def shingle_set(text, width):
@@ -96,6 +99,66 @@ def test_large_group_of_near_copies(spark):
     assert found(frame) == plain(rows, 85, 4)
 
 
+def long_texts(copies=4, others=50):
+    """Long texts that have a passage in common; the first ones are near copies."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(90)]
+    base = [f"b{i}" for i in range(3000)]
+    rows = []
+    for i in range(copies + others):
+        text = list(base) if i < copies else [f"w{rng.randrange(10**6)}" for _ in range(3000 + i)]
+        text[100 * i : 100 * i] = passage
+        text[rng.randrange(len(text))] = f"x{i}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_whole_sets_of_long_texts_are_gathered_for_likely_pairs_only(spark, monkeypatch):
+    gathered = []
+
+    def stored(df, name):
+        out = materialize(df, name)
+        if name == "jaccard-sets":
+            gathered.append({r["node"] for r in out.select("node").collect()})
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", stored)
+    monkeypatch.setattr(jaccard, "DIRECT", 8)
+    rows = long_texts()
+    frame = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in rows], SCHEMA)
+    assert found(frame) == plain(rows, 85, 4)
+    assert set().union(*gathered) and len(set().union(*gathered)) <= 4
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_wide_sketches_never_differ_in_more_than_the_sets(percent):
+    rng = np.random.default_rng(percent)
+    numbers = np.sort(rng.integers(0, 1 << 63, 40_000, dtype=np.uint64))
+    assert jaccard.wide_sketch_of(numbers[:300], percent) is None
+    assert jaccard.wide_sketch_of(numbers, 100) is None
+    for n, m in [(4000, 4000), (4096, 3600), (9000, 2000), (20_000, 20_000), (39_000, 39_000)]:
+        one, other = (np.sort(rng.choice(numbers, k, replace=False)) for k in (n, m))
+        wides = [jaccard.wide_sketch_of(x, percent) for x in (one, other)]
+        least = jaccard.least_wide_different(*[np.frombuffer(w, dtype=np.uint8) for w in wides])
+        assert least <= len(np.setxor1d(one, other))
+        # unlike sets are told from linked ones
+        if n - m < 500 and n <= 20_000:
+            assert least * (100 + percent) > (n + m) * (100 - percent)
+
+
+def test_no_shuffles_and_no_sets_are_left_behind(spark):
+    def left():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = [str(p) for d in disk.localDirsString() for p in Path(d).rglob("shuffle_*")]
+        return {Path(f).name.split("_")[1] for f in files}
+
+    frame = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in made(2)], SCHEMA)
+    before = left()
+    jaccard_components(frame)
+    # the last look-up is measured outside
+    assert len(left() - before) <= 2
+
+
 def test_awkward_rows(spark):
     rows = [(r[0], r[1]) for r in awkward_rows()]
     assert found(awkward(spark)) == plain(rows, 85, 4)

@@ -7,7 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from martkit.functions.times import local_hour
-from martkit.session import materialize, require_utc, scratch_path, shared_dir, sizing
+from martkit.session import (
+    REMOVE_SHUFFLES,
+    discard,
+    materialize,
+    require_utc,
+    scratch_path,
+    shared_dir,
+    shuffles_removed,
+    sizing,
+)
 
 
 def test_shared_dir_is_the_configured_one(spark):
@@ -74,3 +83,22 @@ def test_sizing_is_bounded():
     assert counts == [200, 4096, 409_600]
     with pytest.raises(ValueError, match="split the job"):
         sizing(1 << 50)
+
+
+def test_discard_deletes_stored_tables_only(spark, tmp_path):
+    stored, other = materialize(spark.range(10), "gone"), materialize(spark.range(10), "kept")
+    folder = Path(stored.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists()
+    discard(stored)
+    assert not folder.exists() and other.count() == 10
+    spark.range(3).write.parquet(f"{tmp_path}/own")
+    with pytest.raises(ValueError, match="own"):
+        discard(spark.read.parquet(f"{tmp_path}/own"))
+
+
+def test_shuffles_removed_ends_with_its_block(spark, set_conf):
+    set_conf(**{REMOVE_SHUFFLES.replace(".", "__"): "false"})
+    with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+        assert spark.conf.get(REMOVE_SHUFFLES) == "true"
+        1 / 0
+    assert spark.conf.get(REMOVE_SHUFFLES) == "false"

@@ -24,7 +24,7 @@ from martkit.llm.packing import pack_documents
 from martkit.llm.pii import redact_pii
 from martkit.llm.queries import tokenizer_path
 from martkit.operators.joins import lookup_join
-from martkit.session import materialize
+from martkit.session import materialize, shuffles_removed
 
 cloudpickle.register_pickle_by_value(martkit)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,7 +51,8 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     groups = jaccard_components(rows, PERCENT, WIDTH, key=KEY)
     stay = groups.where("component_id = doc_id").groupBy(F.col("doc_id").alias(KEY))
     # an id that occurs once is a plain look-up; the rows of others are compared
-    ids = materialize(stay.agg(F.count(F.lit(1)).alias(ROWS)), "kept-ids")
+    with shuffles_removed(spark):
+        ids = materialize(stay.agg(F.count(F.lit(1)).alias(ROWS)), "kept-ids")
     once = lookup_join(rows, ids.where(f"{ROWS} = 1"), [KEY], "inner")
     again = lookup_join(rows, ids.where(f"{ROWS} > 1"), [KEY], "inner")
     again = again.dropDuplicates([KEY, "text"])

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from llm_cases import awkward, empty
 from pyspark.sql import functions as F
@@ -50,6 +52,21 @@ def test_one_of_each_group_stays(spark):
     )
 
 
+def test_near_copies_leave_no_shuffles_behind(spark):
+    def left():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = [p.name for d in disk.localDirsString() for p in Path(d).rglob("shuffle_*")]
+        return {name.split("_")[1] for name in files}
+
+    rows = [(i, f"{i % 7} b c d e f g h i j k l {i % 3}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    before = left()
+    kept = corpus_pipeline.near_copies_stage(spark, docs, SF_DIR)
+    # only what is measured for the last look-ups
+    assert len(left() - before) <= 5
+    assert 0 < kept.count() <= 21
+
+
 def test_contracts_of_the_thin_queries(spark):
     chats = op4_chat_format(spark, SF_DIR)
     extra = chats.where("conv_id = -7").first()
